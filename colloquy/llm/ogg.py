@@ -24,7 +24,7 @@ UNIT = 576  # bytes of a packet, one sample each
 RATE = 8000  # samples a second
 AUDIO, NOTES = 0x61756469, 0x6E6F7465  # serial numbers of the two logical streams
 _FLIP = bytes(int(f"{i:08b}"[::-1], 2) for i in range(256))
-_HEAD = struct.Struct("<4sBBqIIIB")
+_HEAD = "<4sBBqIIIB"
 
 
 class OggError(ValueError):
@@ -53,7 +53,7 @@ class Stream:
     pages: list[bytes] = field(default_factory=list)
 
     def page(self, body: bytes, laces: bytes, granule: int, flags: int) -> None:
-        head = _HEAD.pack(b"OggS", 0, flags, granule, self.serial, len(self.pages), 0, len(laces)) + laces
+        head = struct.pack(_HEAD, b"OggS", 0, flags, granule, self.serial, len(self.pages), 0, len(laces)) + laces
         crc = checksum(head + body)
         self.pages.append(head[:22] + crc.to_bytes(4, "little") + head[26:] + body)
 
@@ -94,7 +94,7 @@ def demux(media: bytes) -> dict[int, dict]:
     while at < len(media):
         if len(media) - at < 27:
             raise OggError("a page header is cut")
-        magic, version, flags, granule, serial, number, crc, n = _HEAD.unpack_from(media, at)
+        magic, version, flags, granule, serial, number, crc, n = struct.unpack_from(_HEAD, media, at)
         if magic != b"OggS" or version:
             raise OggError(f"no page at {at}")
         laces = media[at + 27 : at + 27 + n]
