@@ -1,6 +1,6 @@
 """Queries of this subpackage and their DuckDB SQL."""
 
-from colloquy.llm import ogg, pieces
+from colloquy.llm import mixing, ogg, pieces
 
-QUERIES: dict = {"op1_sentencepiece": pieces.query, "op6_ogg": ogg.query}
-ORACLES: dict[str, str] = {}
+QUERIES: dict = {"op1_sentencepiece": pieces.query, "op6_ogg": ogg.query, "op9_pareto_mix": mixing.query}
+ORACLES: dict[str, str] = {"op9_pareto_mix": mixing.SQL}
