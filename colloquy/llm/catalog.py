@@ -1,6 +1,12 @@
 """Queries of this subpackage and their DuckDB SQL."""
 
-from colloquy.llm import mixing, ogg, pieces
+from colloquy.llm import crf, html, mixing, ogg, pieces
 
-QUERIES: dict = {"op1_sentencepiece": pieces.query, "op6_ogg": ogg.query, "op9_pareto_mix": mixing.query}
+QUERIES: dict = {
+    "op1_sentencepiece": pieces.query,
+    "op6_ogg": ogg.query,
+    "op8_html_text": html.query,
+    "op9_pareto_mix": mixing.query,
+    "op10_line_crf": crf.query,
+}
 ORACLES: dict[str, str] = {"op9_pareto_mix": mixing.SQL}
