@@ -1,9 +1,10 @@
 """Queries of this subpackage and their DuckDB SQL."""
 
-from colloquy.llm import crf, html, mixing, ogg, pieces
+from colloquy.llm import crf, html, mixing, ogg, pieces, pii
 
 QUERIES: dict = {
     "op1_sentencepiece": pieces.query,
+    "op5_pseudonyms": pii.query,
     "op6_ogg": ogg.query,
     "op8_html_text": html.query,
     "op9_pareto_mix": mixing.query,
