@@ -1,10 +1,11 @@
 """Queries of this subpackage and their DuckDB SQL."""
 
-from colloquy.llm import bagminhash, crf, html, mixing, ogg, pieces, pii
+from colloquy.llm import bagminhash, crf, doubling, html, mixing, ogg, pieces, pii
 
 QUERIES: dict = {
     "op1_sentencepiece": pieces.query,
     "op2_bagminhash": bagminhash.query,
+    "op3_doubling": doubling.query,
     "op5_pseudonyms": pii.query,
     "op6_ogg": ogg.query,
     "op8_html_text": html.query,

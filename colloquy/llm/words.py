@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -119,3 +120,52 @@ def windows(h: np.ndarray, bound: np.ndarray, k: int, seed: int = 0) -> tuple[np
     end = np.repeat(bound[1:], np.diff(bound))[: n - k + 1]  # the end of each first word's text
     first = np.flatnonzero(np.arange(n - k + 1) + k <= end)
     return first, mix(w[first])
+
+
+def minimizers(h: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
+    """The positions that hold the leftmost smallest of `width` neighbouring hashes, for runs that start at `first`.
+
+    Hashes count by their upper half, so that equal runs choose the same place wherever they are.
+    """
+    if not len(first):
+        return np.zeros(0, np.int64)
+    low = np.uint64(0xFFFFFFFF)
+    x = (h & ~low) | np.arange(len(h), dtype=np.uint64)
+    done = 1
+    while 2 * done <= width:
+        x = np.minimum(x[:-done], x[done:])
+        done *= 2
+    if done < width:
+        x = np.minimum(x[: len(h) - width + 1], x[width - done :][: len(h) - width + 1])
+    picked = (x[first] & low).astype(np.int64)
+    return np.unique(picked)
+
+
+def owners(bound: np.ndarray) -> np.ndarray:
+    """The number of the text of each item."""
+    return np.repeat(np.arange(len(bound) - 1), np.diff(bound))
+
+
+def covered(n: int, first: np.ndarray, width: int) -> np.ndarray:
+    """Which of n items lie in one of the runs of `width` items that start at `first`."""
+    step = np.zeros(n + 1, np.int64)
+    np.add.at(step, first, 1)
+    np.add.at(step, first + width, -1)
+    return np.cumsum(step[:n]) > 0
+
+
+def members(values: np.ndarray, text: np.ndarray, sets: np.ndarray, set_offs: np.ndarray) -> np.ndarray:
+    """Which values are in their text's set: set i is sets[set_offs[i]:set_offs[i + 1]]."""
+    if not len(sets) or not len(values):
+        return np.zeros(len(values), bool)
+    tag = lambda t: mix(t.astype(np.uint64) + np.uint64(1))
+    known = np.sort(mix(sets.view(np.uint64) ^ tag(owners(set_offs))))
+    asked = mix(values.view(np.uint64) ^ tag(text))
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    return known[at] == asked
+
+
+def lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Flat values and offsets of a list<long> column; null is empty."""
+    sizes = np.nan_to_num(np.asarray(pa.compute.list_value_length(column).to_numpy(zero_copy_only=False), float)).astype(np.int64)
+    return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.int64), np.concatenate([[0], np.cumsum(sizes)])
