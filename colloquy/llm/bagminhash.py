@@ -23,7 +23,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.llm import words
@@ -202,10 +202,15 @@ def near_classes(docs: DataFrame, similarity: Fraction = SIMILARITY, n_bands: in
 
 
 def kept(docs: DataFrame, **how) -> DataFrame:
-    """One document of each class, the one with the smallest doc_id; rows without doc_id stay."""
+    """One document of each class, the one with the smallest doc_id; rows without doc_id stay.
+
+    Of rows that share that doc_id one stays.
+    """
     classes = near_classes(docs, **how)
-    drop = classes.where("doc_id <> class_id").select("doc_id")
-    return docs.join(drop, "doc_id", "left_anti").dropDuplicates(["doc_id"]) if "doc_id" in docs.columns else docs
+    drop = written(classes.where("doc_id <> class_id").select("doc_id"), "near-drop")
+    rest = docs.join(drop, "doc_id", "left_anti")
+    same = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy(F.xxhash64("text"), *[c for c in docs.columns if c not in ("doc_id", "text")])
+    return rest.withColumn("_row", F.row_number().over(same)).where("doc_id is null or _row = 1").select(docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
