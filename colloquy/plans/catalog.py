@@ -1,4 +1,6 @@
 """Query name -> function, and query name -> DuckDB SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from colloquy.plans import speech, texts
+
+QUERIES: dict = {**speech.QUERIES, **texts.QUERIES}
+ORACLES: dict[str, str] = {**speech.ORACLES, **texts.ORACLES}
