@@ -23,7 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm import words
@@ -65,7 +65,7 @@ def triggers(data: np.ndarray, offs: np.ndarray, length: int, trigger: int) -> t
 
 
 def parse(docs: DataFrame, length: int, trigger: int) -> DataFrame:
-    """(h, tid, pos) of all triggers."""
+    """(h, tid, pos, times) of all triggers: of a trigger's places in a text the first and the last; times add up to all."""
 
     def work(batches):
         for b in batches:
@@ -74,9 +74,11 @@ def parse(docs: DataFrame, length: int, trigger: int) -> DataFrame:
             for i, j in words.chunks(offs):
                 o = offs[i : j + 1] - offs[i]
                 pick, h, text = triggers(data[offs[i] : offs[j]], o, length, trigger)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(tid[i + text]), pa.array(pick - o[text], pa.int64())], ["h", "tid", "pos"])
+                at, times = words.ends_of_runs(h, text)
+                pick, h, text = pick[at], h[at], text[at]
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(tid[i + text]), pa.array(pick - o[text], pa.int64()), pa.array(times)], ["h", "tid", "pos", "times"])
 
-    return docs.select("text", "tid").mapInArrow(work, "h long, tid long, pos long")
+    return docs.select("text", "tid").mapInArrow(work, "h long, tid long, pos long, times long")
 
 
 def alive_in(b: pa.RecordBatch, column: str, length: int, trigger: int):
@@ -199,9 +201,11 @@ def counted(docs: DataFrame, length: int, trigger: int) -> DataFrame:
 def removed(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, hot: int = HOT, text_out: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and on request the kept bytes."""
     docs = prepared(docs)
-    w = Window.partitionBy("h")
     place = F.struct("tid", "pos")
-    level = parse(docs, length, trigger).withColumn("x", F.min(place).over(w)).withColumn("y", F.max(place).over(w)).withColumn("places", F.count("*").over(w)).where("x <> y")
+    places = parse(docs, length, trigger)
+    # sums first, then a join that can be split: one trigger may have a third of all places
+    often = places.groupBy("h").agg(F.min(place).alias("x"), F.max(place).alias("y"), F.sum("times").alias("places")).where("x <> y").select("h", "places")
+    level = places.select("h", "tid").join(often, "h")
     lists = level.groupBy("tid").agg(F.collect_set(F.when(F.col("places") <= hot, F.col("h"))).alias("known"), F.collect_set(F.when(F.col("places") > hot, F.col("h"))).alias("hot"))
     alive = written(lists, "parse-alive")
     texts = written(docs.groupBy("tid", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "parse-texts")

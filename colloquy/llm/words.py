@@ -154,6 +154,18 @@ def covered(n: int, first: np.ndarray, width: int) -> np.ndarray:
     return np.cumsum(step[:n]) > 0
 
 
+def ends_of_runs(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the places of each hash in a text the first and the last, with numbers that add up to all of them."""
+    if not len(h):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key = mix(h ^ mix(text.astype(np.uint64) + np.uint64(1)))
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+    n = np.diff(np.append(first, len(h)))
+    many = n > 1
+    return np.concatenate([order[first], order[(first + n - 1)[many]]]), np.concatenate([np.where(many, n - 1, 1), np.ones(int(many.sum()), np.int64)])
+
+
 def members(values: np.ndarray, text: np.ndarray, sets: np.ndarray, set_offs: np.ndarray) -> np.ndarray:
     """Which values are in their text's set: set i is sets[set_offs[i]:set_offs[i + 1]]."""
     if not len(sets) or not len(values):
