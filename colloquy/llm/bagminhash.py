@@ -7,8 +7,8 @@ Every point carries a register; a register keeps the identity of its earliest po
 a probability of their weighted Jaccard similarity, without bias. Points later than a bound that depends on the bag's
 weight can't be first in any register and aren't generated; where a register stays empty the bound is doubled.
 
-Registers are banded. In each bucket all are compared with the smallest id, and after that only with those that no
-verified link has yet joined them to. Comparison is exact: overlap of the bags, counts included, over their union.
+Registers are banded. In each bucket all are compared with one document, its head, and after that those that no link has
+joined to the head's component with the whole bucket, in blocks that put out links only. Comparison is exact: overlap of the bags, counts included, over their union.
 Classes are the connected components of the links. Texts that are equal are one text from the start, so copies are never
 paired.
 
@@ -171,6 +171,53 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: Fraction = SIMILARI
     return pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(work, "a long, b long")
 
 
+def rest_links(placed: DataFrame, texts: DataFrame, similarity: Fraction, k: int, few: int = 64, many: int = 512) -> DataFrame:
+    """Links between documents of a bucket in different components, found in blocks and without making rows of pairs.
+
+    The query set of a bucket is what isn't in its head's component; it meets all of the bucket, `few` by `many`
+    documents at a time, and only links are put out.
+    """
+    over, under = similarity.numerator, similarity.denominator
+    kinds = placed.groupBy("key").agg(F.max(F.when(F.col("is_head"), F.col("comp"))).alias("main"), F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("size")).where("x < y and size > 2")
+    rest = placed.join(kinds.select("key", "main", "size"), "key").withColumn("asks", F.col("comp") != F.col("main"))
+    asked = rest.groupBy("key").agg(F.count_if("asks").alias("n_asks"))
+    rest = rest.join(asked, "key").withColumn("nq", F.ceil(F.col("n_asks") / few).cast("int")).withColumn("nt", F.ceil(F.col("size") / many).cast("int"))
+    block = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    queries = rest.where("asks").withColumn("q", block("nq")).select("key", "q", every("nt").alias("t"), "doc_id", "n", "comp", F.lit(True).alias("asks"))
+    targets = rest.withColumn("t", block("nt")).select("key", every("nq").alias("q"), "t", "doc_id", "n", "comp", F.lit(False).alias("asks"))
+    rows = queries.unionByName(targets).join(texts, "doc_id").select("key", "q", "t", "doc_id", "comp", "asks", "text")
+
+    def work(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        asks = group.column("asks").to_numpy(zero_copy_only=False)
+        ids, comp = group.column("doc_id").to_numpy(), group.column("comp").to_numpy()
+        d, s, c = bags(*words.buffers(group.column("text")), k)
+        n = np.bincount(d, c, len(asks)).astype(np.int64)
+        # a shingle that is there c times counts as c numbered ones, so that overlaps are those of sets
+        row = np.repeat(np.arange(len(d)), c)
+        d, s = d[row], words.mix(s[row] + (np.arange(len(row)) - np.repeat(np.cumsum(c) - c, c)).astype(np.uint64) * words.BASES[0])
+        order = np.argsort(s, kind="stable")
+        d, s = d[order], s[order]
+        _, name = np.unique(s, return_inverse=True)
+        mine, theirs = asks[d], ~asks[d]
+        a, x = d[mine], name[mine]
+        b, y = d[theirs], name[theirs]
+        lo, hi = np.searchsorted(y, x, "left"), np.searchsorted(y, x, "right")
+        common = np.zeros(len(asks) * len(asks), np.int32) if len(a) else np.zeros(0, np.int32)
+        cuts = np.concatenate([[0], np.cumsum(hi - lo)])
+        for i, j in words.chunks(cuts, 1 << 21):
+            reach = hi[i:j] - lo[i:j]
+            at = np.repeat(lo[i:j] - (np.cumsum(reach) - reach), reach) + np.arange(int(reach.sum()))
+            common += np.bincount(np.repeat(a[i:j], reach) * len(asks) + b[at], minlength=len(common)).astype(np.int32)
+        p = np.flatnonzero(common)
+        i, j, o = p // len(asks), p % len(asks), common[p].astype(np.int64)
+        good = (comp[i] != comp[j]) & (o * under >= (n[i] + n[j] - o) * over)
+        return pa.table({"a": pa.array(ids[i[good]], pa.int64()), "b": pa.array(ids[j[good]], pa.int64())})
+
+    return rows.groupBy("key", "q", "t").applyInArrow(work, "a long, b long").distinct()
+
+
 def near_classes(docs: DataFrame, similarity: Fraction = SIMILARITY, n_bands: int = BANDS, n_rows: int = ROWS, k: int = K) -> DataFrame:
     """(doc_id, class_id, copy_of): class_id is the smallest doc_id of the class, copy_of that of the exact copies."""
     docs = docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -180,21 +227,20 @@ def near_classes(docs: DataFrame, similarity: Fraction = SIMILARITY, n_bands: in
     # one row of each text; a doc_id that names several texts keeps them all
     own = written(sketch(docs, n_bands, n_rows, k).join(copies.where("doc_id = copy_of").select("doc_id").distinct(), "doc_id").distinct(), "near-bands")
     keyed = own.select("doc_id", "n", F.explode("keys").alias("key"))
-    heads = keyed.groupBy("key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).where("head < last").select("key", "head")
-    members = written(keyed.join(heads, "key"), "near-members")
+    shared = keyed.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count("*").alias("size")).where("x < y").select("key", "size")
+    members = written(keyed.join(shared, "key"), "near-members")
+    # the head of a bucket is the document that has most company over all its buckets: one in the midst of near copies
+    company = members.groupBy("doc_id").agg(F.sum("size").alias("company"))
+    heads = members.join(company, "doc_id").groupBy("key").agg(F.max(F.struct("company", (-F.col("doc_id")).alias("x"))).alias("head")).select("key", (-F.col("head.x")).alias("head"))
+    members = written(members.join(heads, "key"), "near-headed")
     low, high = F.least("n", "m"), F.greatest("n", "m")
     fits = low * similarity.denominator >= high * similarity.numerator
     sizes = own.select(F.col("doc_id").alias("a"), F.col("n").alias("m"))
-    tried = written(members.where("head < doc_id").select(F.col("head").alias("a"), F.col("doc_id").alias("b"), "n").distinct().join(sizes, "a").where(fits).select("a", "b").distinct(), "near-pairs")
+    tried = written(members.where("head <> doc_id").select(F.col("head").alias("a"), F.col("doc_id").alias("b"), "n").distinct().join(sizes, "a").where(fits).select("a", "b").distinct(), "near-pairs")
     links = written(verified(tried, docs, similarity, k), "near-links")
     comp = written(components(links), "near-components")
-    # what a bucket's first document didn't join is compared with the bucket's other components
-    placed = members.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", "n", F.coalesce("comp", "doc_id").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("size")).where("x < y and size > 2").select("key")
-    rest = written(placed.join(mixed, "key"), "near-rest")
-    other = rest.select("key", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("comp").alias("comp_b"))
-    more = rest.withColumnRenamed("doc_id", "a").join(other, "key").where((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & fits).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    links = links.union(verified(written(more, "near-more"), docs, similarity, k))
+    placed = members.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", "n", (F.col("doc_id") == F.col("head")).alias("is_head"), F.coalesce("comp", "doc_id").alias("comp"))
+    links = links.union(rest_links(written(placed, "near-placed"), docs, similarity, k))
     # copies are joined to their text's first document, which also joins texts that share a doc_id
     joined = components(links.union(copies.select(F.col("copy_of").alias("a"), F.col("doc_id").alias("b"))).distinct())
     ids = copies.groupBy("doc_id").agg(F.min("copy_of").alias("copy_of"))
