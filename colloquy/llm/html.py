@@ -30,6 +30,7 @@ ASIDE_ROLES = set("navigation banner contentinfo complementary search dialog ale
 COMMENT_NAMES = set("comment comments respond disqus".split())
 
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<({RAW})(?![\w-])[^>]*(?<!/)>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S | re.I)
+_SHUT = re.compile(r"(?:^|[\s\"'])/$")  # <x/>, but not <a href=/>
 _ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
@@ -92,7 +93,7 @@ def blocks(page: str, keep_forms: bool = False) -> list[tuple[str, bool, bool, i
                     if name == tag:
                         break
                 aside, main, link = stack[-1][1:] if stack else (False, False, False)
-        elif tag not in VOID and not attrs.endswith("/"):
+        elif tag not in VOID and not _SHUT.search(attrs):
             if tag == "body" and open_tags.get("head"):
                 stack.clear()
                 open_tags.clear()
