@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 UNIT = 576  # bytes of a packet, one sample each
 RATE = 8000  # samples a second
@@ -170,7 +171,7 @@ def store(docs: DataFrame, text: str = "text", media: str = "media") -> DataFram
             files = [mux(pad(t := x or b""), len(t).to_bytes(8, "big")) for x in b.column(text).cast(pa.binary()).to_pylist()]
             yield b.append_column(media, pa.array(files, pa.binary()))
 
-    return docs.mapInArrow(work, docs.schema.add(media, "binary"))
+    return docs.mapInArrow(work, T.StructType([*docs.schema.fields, T.StructField(media, T.BinaryType())]))
 
 
 def digest(docs: DataFrame) -> DataFrame:
