@@ -103,15 +103,18 @@ def decided(sized: DataFrame, found: DataFrame, cap: int = CAP, seed: str = SEED
 
 
 def sized_docs(docs: DataFrame, propensity: Column | None = None) -> DataFrame:
-    return docs.withColumn("sk", key(F.col("source"))).withColumn("size", n_words(F.col("text"))).withColumn("propensity", (propensity if propensity is not None else F.lit(1.0)).cast("double"))
+    p = (propensity if propensity is not None else F.lit(1.0)).cast("double")
+    return docs.withColumns({"sk": key(F.col("source")), "size": n_words(F.col("text")), "propensity": p})
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP, seed: str = SEED, propensity: Column | None = None) -> DataFrame:
     """The mix itself: each row of `docs` as many times as it is taken, with the columns of `docs`."""
     narrow = written(sized_docs(docs, propensity).select("doc_id", "source", "sk", "size", "propensity"), "mix-sizes")
     found = figures(narrow, weights, share, cap, seed)
-    got = decided(sized_docs(docs.select(F.struct("*").alias("row"), "*").select("row", "doc_id", "source", "text"), propensity), found, cap, seed)
-    return got.select("row", F.explode(F.array_repeat(F.lit(0), F.col("n_copies").cast("int")))).select("row.*")
+    # the row stays whole beside what decides on it, so that its other columns may have any names
+    sized = sized_docs(docs.withColumn("_row", F.struct(*docs.columns)), propensity).select("_row", "doc_id", "sk", "size", "propensity")
+    got = decided(sized, found, cap, seed)
+    return got.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("n_copies").cast("int")))).select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
