@@ -127,3 +127,18 @@ LETTER_CHOICES = """SELECT o_orderkey, 2 AS n_answers, CASE WHEN o_orderkey % 2
 
 QUERIES = {f.__name__: f for f in (survival_turns, wer_scores, coverage_pairs, diff_positions, ensemble_resolve, cluster_prompts, flat_merge, structured_merge, letter_choices)}
 ORACLES = {"survival_turns": SURVIVAL, "wer_scores": WER, "letter_choices": LETTER_CHOICES}
+
+
+def markdown_pages(spark, sf) -> DataFrame:
+    """One page a conversation: system turns stand for slides, other turns for paragraphs, in order."""
+    from colloquy.sources import sinks
+
+    c = table(spark, sf, "conversations")
+    slide = sinks.slide_line(F.col("turn"), F.lit(None).cast("string"), F.concat(F.lit("s"), F.col("turn").cast("string"), F.lit(".png")))
+    line = F.when(F.col("role") == "system", slide).otherwise(F.concat(F.lit("**"), "role", F.lit("** "), F.regexp_replace("text", r"\n", " ")))
+    per = c.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("x")))), lambda s: s["x"]).alias("p"))
+    return per.select("conv_id", sinks.markdown(F.concat(F.lit("Talk "), F.col("conv_id").cast("string")), F.lit(None).cast("string"), F.col("p")).alias("page"))
+
+
+MARKDOWN_PAGES = r"""SELECT conv_id, '# Talk ' || conv_id || chr(10) || chr(10) || string_agg(CASE WHEN role = 'system' THEN '![Slide ' || turn || '](slides/s' || turn || '.png)' ELSE '**' || role || '** ' || regexp_replace(text, '\n', ' ', 'g') END, chr(10) || chr(10) ORDER BY turn) || chr(10) AS page FROM conversations GROUP BY conv_id"""
+QUERIES["markdown_pages"], ORACLES["markdown_pages"] = markdown_pages, MARKDOWN_PAGES
