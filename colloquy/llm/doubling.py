@@ -41,7 +41,10 @@ def firsts(docs: DataFrame) -> DataFrame:
 
 
 def anchors(docs: DataFrame, length: int) -> DataFrame:
-    """(h, doc_id, spot): the half-length windows that stand for full windows; spot tells different places apart."""
+    """(h, doc_id, spot): the half-length windows that stand for full windows; spot tells different places apart.
+
+    Of the places of a window in a text the first and the last are enough.
+    """
     half = length // 2
 
     def work(batches):
@@ -56,6 +59,8 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
                 grid = np.zeros(len(h), np.uint64)
                 grid[at] = x
                 pick = words.minimizers(grid, full, length - half + 1)
+                at, _ = words.ends_of_runs(grid[pick], words.owners(w.bound)[pick])
+                pick = pick[at]
                 text = words.spans(part, o[:-1], o[1:])[owner := words.owners(w.bound)[pick]]
                 spot = words.mix(text + (pick - w.bound[owner]).astype(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(grid[pick].view(np.int64)), pa.array(ids[i + owner]), pa.array(spot.view(np.int64))], ["h", "doc_id", "spot"])
