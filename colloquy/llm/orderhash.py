@@ -132,12 +132,15 @@ def compared(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sizes = docs.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.length("text")).alias("n"))
     order = written(neighbours(sizes), "order-neighbours")
-    given = docs.join(order.select("doc_id", "prev_id", F.floor(F.col("prev_n") / 4).cast("int").alias("need")), "doc_id")
+    # rows with an id on either side of both joins, so that their texts are shuffled once
+    known = docs.where("doc_id is not null")
+    given = known.join(order.select("doc_id", "prev_id", F.floor(F.col("prev_n") / 4).cast("int").alias("need")), "doc_id")
     given = given.groupBy(F.col("prev_id").alias("doc_id")).agg(F.min(F.expr("substring(text, 1, need)")).alias("given"))
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - quarter), F.substring(F.coalesce("given", F.lit("")), F.lit(1), quarter))
-    pairs = docs.join(given, "doc_id", "left").select("doc_id", "text", n.cast("long").alias("n_chars"), edited.alias("edited"))
+    both = known.join(given, "doc_id", "left").unionByName(docs.where("doc_id is null").withColumn("given", F.lit("")))
+    pairs = both.select("doc_id", "text", n.cast("long").alias("n_chars"), edited.alias("edited"))
     prints = pairs.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("text")).alias("own"), fingerprint(F.col("edited")).alias("other"))
     prints = written(prints, "order-prints")
     nexts = prints.join(order.select("doc_id", "prev_id"), "doc_id").groupBy(F.col("prev_id").alias("doc_id")).agg(F.min("own").alias("next"))
