@@ -1,8 +1,10 @@
 """Substring deduplication over bytes by prefix-free parsing.
 
-Triggers are 64-byte strings whose rolling hash is the smallest among their neighbours'; every 200-byte string holds
-one, and equal strings hold it at the same place. They parse each text. A trigger that the corpus has once can't lie in
-a repeated string, and nothing more is done for it: what is left is the highly repetitive part.
+A 64-byte string is a core if its rolling hash is the smallest among its neighbours'; every 200-byte string holds one,
+and equal strings hold it at the same place. Cores parse each text. The 132 bytes that end with a core and the 132 that
+start with it are triggers: one of the two lies in any 200 bytes around the core, whichever way they reach further. A
+trigger that the corpus has once can't lie in a repeated string, and nothing more is done for it: what is left is the
+highly repetitive part.
 
 For each other trigger, every place has a dictionary part (the bytes before the trigger, one suffix for each length) and
 a parse part (the bytes from the trigger on). Places are put in corpus order: the parse parts are sorted once, as in a
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from colloquy.llm import words
 from colloquy.llm.shared import written
 
-LENGTH, TRIGGER, HOT = 200, 64, 20_000
+LENGTH, TRIGGER, HOT = 200, 132, 20_000
 _TABLE = words.mix(np.arange(1, 257).astype(np.uint64))
 
 
@@ -51,17 +53,20 @@ def cut(s: np.ndarray, start: np.ndarray, length, seed: int = 0) -> np.ndarray:
 
 
 def triggers(data: np.ndarray, offs: np.ndarray, length: int, trigger: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, hash, text) of each trigger."""
-    n = len(data)
+    """(place, hash, text) of each trigger: two for each core, one that ends with it and one that starts with it."""
+    n, core = len(data), 2 * trigger - length
     if n < length:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     s = sums(data)
-    k = n - trigger + 1
-    h = words.mix((s[trigger:] - s[:-trigger]) * words.inverse_powers(words.BASES[0], n)[:k])
+    k = n - core + 1
+    h = words.mix((s[core:] - s[:-core]) * words.inverse_powers(words.BASES[0], n)[:k])
     owner = words.owners(offs)
     first = np.flatnonzero(np.arange(n) + length <= offs[1:][owner])
-    pick = words.minimizers(h, first, length - trigger + 1)
-    return pick, h[pick], owner[pick]
+    pick = words.minimizers(h, first, length - core + 1)
+    text = owner[pick]
+    before, after = pick - (trigger - core), pick + trigger
+    place = np.unique(np.concatenate([before[before >= offs[text]], pick[after <= offs[text + 1]]]))
+    return place, cut(s, place, trigger), owner[place]
 
 
 def parse(docs: DataFrame, length: int, trigger: int) -> DataFrame:

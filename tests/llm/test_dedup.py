@@ -140,7 +140,7 @@ def bytes_removed(rows, length):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("length", "trigger", "hot"), [(200, 64, 20_000), (200, 64, 2), (24, 8, 20_000), (24, 8, 3)])
+@pytest.mark.parametrize(("length", "trigger", "hot"), [(200, 132, 20_000), (200, 132, 2), (24, 16, 20_000), (24, 15, 3)])
 def test_parsing(docs, length, trigger, hot):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = parsing.removed(docs, length, trigger, hot).collect()
@@ -150,7 +150,7 @@ def test_parsing(docs, length, trigger, hot):
 def test_parsing_odd_rows(odd, empty):
     odd = odd.where("doc_id is null or doc_id <> 5")
     rows = [(r.doc_id, r.text) for r in odd.collect()]
-    got = parsing.removed(odd, 10, 4, text_out=True).collect()
+    got = parsing.removed(odd, 10, 7, text_out=True).collect()
     assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == bytes_removed(rows, 10)
     assert parsing.removed(empty).count() == 0
 
