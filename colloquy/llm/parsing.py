@@ -206,7 +206,7 @@ def counted(docs: DataFrame, length: int, trigger: int) -> DataFrame:
 def removed(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, hot: int = HOT, text_out: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and on request the kept bytes."""
     docs = prepared(docs)
-    place = F.struct("tid", "pos")
+    place = F.xxhash64("tid", "pos")  # tells places apart; a long, so that sums need no sort
     places = parse(docs, length, trigger)
     # sums first, then a join that can be split: one trigger may have a third of all places
     often = places.groupBy("h").agg(F.min(place).alias("x"), F.max(place).alias("y"), F.sum("times").alias("places")).where("x <> y").select("h", "places")
