@@ -8,15 +8,16 @@ value only, so equal values stay linked across documents and different ones stay
 | kind | validated by | what is permuted |
 |-|-|-|
 | email | form | name, and domain but its last label |
-| phone | form with country code | digits after the country code |
+| phone | form with country code (+ or 00), or national: area in brackets, 3-3-4, or a trunk 0 and 9 to 12 digits in groups | digits after the country code or trunk 0 |
 | card | 13 to 19 digits, plain or grouped, Luhn | all digits but the last, which is the new check digit |
 | ip | four octets up to 255 | the 32 bits |
 | ssn | areas, groups and serials that can be issued | the number among all such numbers |
 | iban | modulo 97 | account part; new check digits |
-| date | calendar, 1800 to 2199 | the day among those 146,097 |
-| secret | a key word, = or :, and 16 characters or more | characters within hexadecimal digits or their classes |
+| date | calendar, 1800 to 2199, year first or last, days and months of one or two digits | the day among those 146,097 |
+| secret | a key word (quoted or not), = or :, and 16 characters or more, dots within | characters within hexadecimal digits or their classes |
 
-Candidates that fail validation are left as they are. Defined results: null text stays null with nothing found; empty
+Candidates that fail validation are left as they are, and so are plain runs of digits that could be a national number
+without any sign of it. Dates whose day or month lacks its zero get a date without such zeros. Defined results: null text stays null with nothing found; empty
 text stays empty. Texts are worked on alone: no shuffle.
 """
 
@@ -29,15 +30,18 @@ KEY = "pseudonyms"
 ROUNDS = 8
 
 # Forms of the kinds.
-_SECRET = r"(?i:(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|private[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?)[A-Za-z0-9_+/-]{16,}+"
-_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}+"
-_PHONE = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
-_DATE = r"(?<![0-9./-])(?:(?:18|19|20|21)[0-9]{2}-[01][0-9]-[0-3][0-9]|[0-3][0-9]\.[01][0-9]\.(?:18|19|20|21)[0-9]{2}|[0-3][0-9]/[0-3][0-9]/(?:18|19|20|21)[0-9]{2})(?![0-9])"
+_SECRET = r"(?i:(?<![a-z0-9])(?:token|secret(?:[_-]?key)?|password|passwd|api[_-]?key|access[_-]?key|private[_-]?key)\\?[\"']?[ ]{0,3}[=:][ ]{0,3}\\?[\"']?)(?=[A-Za-z0-9_+/.-]{15,}?[A-Za-z0-9_+/-])[A-Za-z0-9_+/-]++(?:\.++[A-Za-z0-9_+/-]++)*+"
+_EMAIL = r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}+"
+_PHONE = r"(?:\+[0-9]{1,3}[ .-]?|(?<![0-9A-Za-z])(?<![0-9][.,/+-])00[1-9][0-9]{0,2}[ .-])(?=(?:[ .()-]{0,3}[0-9]){5})(?:\(0\)[ .-]?)?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
+_DATE = r"(?<![0-9./-])(?:(?:18|19|20|21)[0-9]{2}(?:-[01]?[0-9]-|/[01]?[0-9]/|\.[01]?[0-9]\.)[0-3]?[0-9]|[0-3]?[0-9](?:\.[01]?[0-9]\.|/[0-3]?[0-9]/|-[0-3]?[0-9]-)(?:18|19|20|21)[0-9]{2})(?![0-9])"
 _IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9])"
 _CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z])"
 _IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![0-9A-Za-z])"
-CANDIDATE = "|".join([_SECRET, _EMAIL, _PHONE, _DATE, _IP, _SSN, _CARD, _IBAN])
+_AREA = r"(?:1[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?:1[ .-])?(?:[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4}|[2-9][0-9]{2} [2-9][0-9]{2}[ -][0-9]{4})"
+_TRUNK = r"0[1-9](?:[ .-][0-9]{2}){4}|(?=(?:[0-9(][ ()/-]{0,2}){9,13}(?![0-9]))(?:\(0[1-9][0-9]{0,3}\)[ ]?|0[1-9][0-9]{0,3}[ /-])[0-9]{3,8}(?:[ -][0-9]{3,4}){0,2}"
+_NATIONAL = rf"(?<![0-9A-Za-z])(?<![0-9][.,/+-])(?:{_AREA}|{_TRUNK})(?![0-9A-Za-z]|[.,-][0-9])"
+CANDIDATE = "|".join([_SECRET, _EMAIL, _PHONE, _DATE, _IP, _SSN, _CARD, _IBAN, _NATIONAL])
 KINDS = ("email", "phone", "card", "ip", "ssn", "iban", "date", "secret")
 _LOWER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 _ALPHANUMERIC = (_DIGITS, _LOWER, _LOWER.upper())
@@ -143,14 +147,14 @@ def pseudonym(m: Column, key: str) -> Column:
     digits = F.regexp_replace(m, "[^0-9]", "")
     none = F.struct(F.lit(None).cast("string").alias("kind"), m.alias("value"))
 
-    before = F.regexp_extract(m, r"^[^=:]*[=:][ ]{0,3}[\"']?", 0)
+    before = F.regexp_extract(m, r"^[^=:]*[=:][ ]{0,3}\\?[\"']?", 0)
     secret = F.substring(m, F.length(before) + 1, F.length(m))
     hidden = F.when(secret.rlike("^[0-9a-f]+$"), permuted(secret, key + ":hex", _HEX)).when(secret.rlike("^[0-9A-F]+$"), permuted(secret, key + ":HEX", (_HEX[0].upper(),))).otherwise(permuted(secret, key + ":secret"))
 
     host = F.regexp_extract(m, r"@(.*)\.[A-Za-z]+$", 1)
     email = F.concat(permuted(F.substring_index(m, "@", 1), key + ":name"), F.lit("@"), permuted(host, key + ":host"), F.lit("."), F.substring_index(m, ".", -1))
 
-    country = F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
+    country = F.regexp_extract(m, r"^(?:(?:\+|00)[0-9]{1,3}(?=[ .(-])(?:[ .-]?\(0\))?|1(?=[ .(-])[ .-]?|\(?0)", 0)
     rest = F.substring(m, F.length(country) + 1, F.length(m))
     phone = F.concat(country, refilled(rest, permuted(F.regexp_replace(rest, "[^0-9]", ""), key + ":phone", (_DIGITS,)), "0-9"))
 
@@ -174,19 +178,29 @@ def pseudonym(m: Column, key: str) -> Column:
     new_iban = let(permuted(account, key + ":iban"), lambda a: F.concat(land, F.lpad((98 - iban_rest(F.concat(a, land, F.lit("00")))).cast("string"), 2, "0"), a))
     iban = let(new_iban, lambda x: refilled(m, x, "0-9A-Z"))
 
-    form = F.when(m.rlike("^[0-9]{4}-"), "yyyy-MM-dd").when(m.contains("."), "dd.MM.yyyy")
-    american = F.to_date(F.try_to_timestamp(m, F.lit("MM/dd/yyyy")))
-    day = F.when(form == "yyyy-MM-dd", F.to_date(F.try_to_timestamp(m, F.lit("yyyy-MM-dd")))).when(form == "dd.MM.yyyy", F.to_date(F.try_to_timestamp(m, F.lit("dd.MM.yyyy")))).otherwise(F.coalesce(american, F.to_date(F.try_to_timestamp(m, F.lit("dd/MM/yyyy")))))
+    sep, dashed = F.regexp_extract(m, "[./-]", 0), F.translate(m, "./", "--")
+    short = dashed.rlike("(^|-)[0-9](-|$)")
+    of = lambda form: F.to_date(F.try_to_timestamp(dashed, F.lit(form)))
+    year_first = m.rlike("^[0-9]{4}")
+    american = F.when(~year_first & (sep != "."), of("M-d-yyyy"))
+    day = F.when(year_first, of("yyyy-M-d")).otherwise(F.coalesce(american, of("d-M-yyyy")))
     new_day = F.date_add(F.lit("1800-01-01").cast("date"), permuted_number(F.datediff(day, F.lit("1800-01-01").cast("date")).cast("long"), 189, 773, key + ":date").cast("int"))
-    date = let(new_day, lambda d: F.when(form == "yyyy-MM-dd", F.date_format(d, "yyyy-MM-dd")).when(form == "dd.MM.yyyy", F.date_format(d, "dd.MM.yyyy")).when(american.isNotNull(), F.date_format(d, "MM/dd/yyyy")).otherwise(F.date_format(d, "dd/MM/yyyy")))
+
+    def dated(d: Column) -> Column:
+        two = lambda x: F.when(short, x.cast("string")).otherwise(F.lpad(x.cast("string"), 2, "0"))
+        y, mo, da = F.year(d).cast("string"), two(F.month(d)), two(F.dayofmonth(d))
+        return F.when(year_first, F.concat_ws("-", y, mo, da)).when(american.isNotNull(), F.concat_ws("-", mo, da, y)).otherwise(F.concat_ws("-", da, mo, y))
+
+    date = F.replace(let(new_day, dated), F.lit("-"), sep)
 
     return (
-        F.when(m.rlike("^[A-Za-z _-]+[=:]"), as_is("secret", F.concat(before, hidden)))
+        F.when(m.rlike(r"^[A-Za-z _\\\"'-]+[=:]"), as_is("secret", F.concat(before, hidden)))
         .when(m.contains("@"), as_is("email", email))
-        .when(m.startswith("+"), as_is("phone", phone))
-        .when(m.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$|^[0-9]{2}([./])[0-9]{2}\1[0-9]{4}$"), F.when(day.isNotNull(), as_is("date", date)).otherwise(none))
+        .when(m.rlike(r"^\+|^00[1-9][0-9]{0,2}[ .-]"), as_is("phone", phone))
+        .when(m.rlike(r"^[0-9]{4}([./-])[0-9]{1,2}\1[0-9]{1,2}$|^[0-9]{1,2}([./-])[0-9]{1,2}\2[0-9]{4}$"), F.when(day.isNotNull(), as_is("date", date)).otherwise(none))
         .when(m.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), F.when(good_ip, as_is("ip", ip)).otherwise(none))
         .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), F.when(good_ssn, as_is("ssn", ssn)).otherwise(none))
+        .when(m.rlike(f"^(?:{_AREA})$|^(?:{_TRUNK})$"), as_is("phone", phone))
         .when(m.rlike("^[0-9]"), F.when(luhn_valid(digits), as_is("card", let(card, lambda c: refilled(m, c, "0-9")))).otherwise(none))
         .otherwise(F.when(good_iban, as_is("iban", iban)).otherwise(none))
     )

@@ -147,6 +147,43 @@ def test_pseudonyms_of_odd_rows(odd, empty):
     assert pii.pseudonymised(empty).count() == 0
 
 
+def test_more_forms_of_personal_data(spark):
+    forms = {
+        "+33 1 23 45 67 89": r"\+33 \d( \d\d){4}",
+        "+81 3-1234-5678": r"\+81 \d-\d{4}-\d{4}",
+        "+61 2 9876 5432": r"\+61 \d \d{4} \d{4}",
+        "+44 (0)20 7946 0958": r"\+44 \(0\)\d\d \d{4} \d{4}",
+        "0033 1 23 45 67 89": r"0033 \d( \d\d){4}",
+        "(555) 123-4567": r"\(\d{3}\) \d{3}-\d{4}",
+        "1-800-555-0199": r"1-\d{3}-\d{3}-\d{4}",
+        "555.123.4567": r"\d{3}\.\d{3}\.\d{4}",
+        "06 12 34 56 78": r"0\d( \d\d){4}",
+        "(020) 7946 0958": r"\(0\d\d\) \d{4} \d{4}",
+        "030/1234567": r"0\d\d/\d{7}",
+        "_john.doe@example.com_": r"_[a-z]{4}\.[a-z]{3}@[a-z]{7}\.com_",
+        "...john@example.com": r"\.\.\.[a-z]{4}@[a-z]{7}\.com",
+        "3/4/2021": r"\d{1,2}/\d{1,2}/\d{4}",
+        "3.4.2021": r"\d{1,2}\.\d{1,2}\.\d{4}",
+        "2021-3-4": r"\d{4}-\d{1,2}-\d{1,2}",
+        "2021/03/04": r"\d{4}/\d\d/\d\d",
+        "31-12-1999": r"\d\d-\d\d-\d{4}",
+        '"token": "04dbebab91ab85687d33eeaaf9ac699e1188f962"': r'"token": "[0-9a-f]{40}"',
+        r'\"api_key\": \"abcdefgh12345678\"': r'\\"api_key\\": \\"[a-z]{8}\d{8}\\"',
+        "secret = eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJ": r"secret = \w{12}\.\w{12}\.\w{8}",
+    }
+    got = replaced(spark, list(forms))
+    assert [(t, g) for (t, f), g in zip(forms.items(), got) if not re.fullmatch(f, g) or g == t] == []
+    assert replaced(spark, [f"x {t}, y" for t in forms]) == [f"x {g}, y" for g in got]
+    same = replaced(spark, ["(555) 123-4567", "555-123-4567", "+1 555 123 4567", "password = abcdefgh12345678.", "password = abcdefgh12345678"])
+    digits = ["".join(re.findall(r"\d", x)) for x in same[:3]]
+    assert digits[0] == digits[1] == digits[2][1:] and same[3] == same[4] + "."
+
+
+def test_what_is_like_more_forms_stays(spark):
+    texts = ["32/13/2021", "30.2.2021", "2021-13-1", "1.2.3", "05.30-06.45", "0.1234567", "0612345678", "100 200 3000", "12-34-56", "call (12) 34", "token: short.", "@home", "00 12", "1234-567-890", "3.14159265", "2021-2022"]
+    assert replaced(spark, texts) == texts
+
+
 # --- media
 def test_ogg_round_trip():
     r = random.Random(2)
