@@ -1,10 +1,16 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to lines, one a block. A line's weight is its text length; lines of menus, headers, footers,
-sidebars, notices, adverts, forms and reader comments weigh nothing, nor do lines that are mostly links, nor, where a
-page marks its article, lines outside of it. Weights are summed over sliding windows of lines. A run of windows with
-text is kept from the line where the sums surge to the line where they dive to nothing, if it reaches the threshold
-(any text does inside a marked article); where none does, the heaviest run is kept.
+sidebars, notices, adverts, forms and reader comments weigh nothing, nor do lines outside of an article that are mostly
+links. Where a page marks an article, each line's weight is multiplied by its side's share of the page's text, that
+within articles counting MARKED times: a small marked card doesn't outweigh the text around it. Weights are summed over
+sliding windows of lines, on either side of the marks by itself; what isn't the article is passed over within it. A run
+of windows with text is kept from the line where the sums surge to the line where they dive to nothing, if it reaches
+the threshold; where none does, the heaviest run is kept, one of an article counting MARKED times.
+
+Class and id names count as whole names, or by the first or last part of a compound (reader-comments) unless it tells
+of a state (has-sidebar); not on paragraphs, headings and the like of an article. Names of a wrapper don't count for the
+page's longest article within it, nor where every line would be left out.
 
 Defined results: null html is empty html; a page without text has empty text; html that is cut or badly nested is read as
 far as it goes. Each page is worked on alone, in time linear in its length.
@@ -18,7 +24,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-WINDOW, SURGE = 3, 86
+WINDOW, SURGE, MARKED = 3, 86, 3
 
 # Element and attribute names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -27,6 +33,8 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
 ASIDE = set("nav header footer aside form button dialog menu head".split())
 ASIDE_NAMES = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget related recommended share sharing social cookie cookies consent gdpr notice notices notification alert newsletter subscribe subscription signup login popup modal overlay comment comments respond disqus pagination pager tags toolbar copyright".split())
 ASIDE_ROLES = set("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
+STATES = set("has have with without no not is are show shows hide hides enable enabled disable disabled".split())
+TEXT_TAGS = set("p h1 h2 h3 h4 h5 h6 blockquote li dt dd pre td th figure figcaption".split())
 COMMENT_NAMES = set("comment comments respond disqus".split())
 
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<({RAW})(?![\w-])[^>]*(?<!/)>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S | re.I)
@@ -34,36 +42,43 @@ _SHUT = re.compile(r"(?:^|[\s\"'])/$")  # <x/>, but not <a href=/>
 _ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
-def is_aside(tag: str, attrs: str, in_main: bool) -> bool:
-    """Whether an element isn't part of the article, by its name, class, id or role."""
+def named(names: list[str], among: set[str]) -> bool:
+    """Whether a class or id is one of the names, or a compound that begins or ends with one and tells of no state."""
+    for name in names:
+        parts = [x for x in re.split("[_-]+", name) if x]
+        if parts and parts[0] not in STATES and (parts[0] in among or parts[-1] in among):
+            return True
+    return False
+
+
+def asides(tag: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
+    """Whether an element isn't part of the article: by its own name or role, and by its class or id."""
     if tag in ("html", "body", "main"):
-        return False
+        return False, False
     found = {k.lower(): (a or b or c).lower() for k, a, b, c in _ATTR.findall(attrs)} if attrs else {}
-    names = set(re.split(r"[\s_-]+", f"{found.get('class', '')} {found.get('id', '')}"))
+    names = f"{found.get('class', '')} {found.get('id', '')}".split()
     if tag == "article":
-        return bool(names & COMMENT_NAMES)
-    if tag in ASIDE and not (tag == "header" and in_main):
-        return True
-    if found.get("role") in ASIDE_ROLES:
-        return True
-    return bool(names & ASIDE_NAMES) and not (tag == "header" and in_main)
+        return named(names, COMMENT_NAMES), False
+    hard = tag in ASIDE and not (tag == "header" and in_main) or found.get("role") in ASIDE_ROLES
+    return hard, not (in_main and (tag == "header" or tag in TEXT_TAGS)) and named(names, ASIDE_NAMES)
 
 
-def blocks(page: str, keep_forms: bool = False) -> list[tuple[str, bool, bool, int]]:
-    """(text, aside, inside the article, characters in links) of each block in page order."""
-    out: list[tuple[str, bool, bool, int]] = []
+def blocks(page: str, keep_forms: bool = False) -> list[tuple[str, bool, bool, bool, int, int]]:
+    """(text, aside by element, by names, by names within its article, number of its article or 0, characters in links)
+    of each block in page order."""
+    out: list[tuple[str, bool, bool, bool, int, int]] = []
     parts: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool, bool]] = []
+    stack: list[tuple[str, bool, bool, bool, int, bool]] = []
     open_tags: dict[str, int] = {}
-    aside = main = link = False
-    at = 0
+    hard = soft = inner = link = False
+    main = n_marked = at = 0
 
     def flush():
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            out.append((text, aside, main, linked))
+            out.append((text, hard, soft, inner, main, linked))
         parts.clear()
         linked = 0
 
@@ -92,16 +107,20 @@ def blocks(page: str, keep_forms: bool = False) -> list[tuple[str, bool, bool, i
                     open_tags[name] -= 1
                     if name == tag:
                         break
-                aside, main, link = stack[-1][1:] if stack else (False, False, False)
+                hard, soft, inner, main, link = stack[-1][1:] if stack else (False, False, False, 0, False)
         elif tag not in VOID and not _SHUT.search(attrs):
             if tag == "body" and open_tags.get("head"):
                 stack.clear()
                 open_tags.clear()
-                aside = main = link = False
-            aside = aside or (is_aside(tag, attrs, main) and not (keep_forms and tag == "form"))
-            main = main or tag in ("article", "main") or "main" in [(b or c or d).lower() for a, b, c, d in _ATTR.findall(attrs) if a.lower() == "role"] if attrs or tag in ("article", "main") else main
+                hard = soft = inner = link = False
+                main = 0
+            by_tag, by_name = asides(tag, attrs, main > 0) if not (keep_forms and tag == "form") else (False, False)
+            hard, soft, inner = hard or by_tag, soft or by_name, inner or by_name
+            if tag in ("article", "main") or attrs and "main" in [(b or c or d).lower() for a, b, c, d in _ATTR.findall(attrs) if a.lower() == "role"]:
+                n_marked += 1
+                main, inner = n_marked, False
             link = link or tag == "a"
-            stack.append((tag, aside, main, link))
+            stack.append((tag, hard, soft, inner, main, link))
             open_tags[tag] = open_tags.get(tag, 0) + 1
     add(page[at:])
     flush()
@@ -131,20 +150,37 @@ def runs(weights: list[int], window: int = WINDOW) -> list[tuple[int, int, int]]
     return found
 
 
+def aside_lines(lines) -> list[bool]:
+    """Whether each line is none of the article's: by elements, and by names but those around the longest article."""
+    size: dict[int, int] = {}
+    for text, hard, _, inner, main, _ in lines:
+        if main and not (hard or inner):
+            size[main] = size.get(main, 0) + len(text)
+    longest = max(size, key=size.get, default=0)
+    return [hard or (inner if main and main == longest else soft) for _, hard, soft, inner, main, _ in lines]
+
+
 def extract(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """The main text of one page."""
     lines = blocks(page or "")
-    if lines and all(x[1] for x in lines):
+    aside = aside_lines(lines)
+    if lines and all(aside):
         lines = blocks(page or "", keep_forms=True)
-    marked = any(main and not aside for _, aside, main, _ in lines)
-    if marked:
-        weights = [len(t) if main and not aside else 0 for t, aside, main, _ in lines]
-        kept = runs(weights, window)
-    else:
-        weights = [0 if aside or 2 * linked > len(t) else len(t) for t, aside, _, linked in lines]
-        every = runs(weights, window)
-        kept = [r for r in every if r[2] >= surge] or ([max(every, key=lambda r: r[2])] if every else [])
-    return " ".join(lines[i][0] for a, b, _ in kept for i in range(a, b) if weights[i])
+        aside = aside_lines(lines)
+        if all(aside):
+            aside = [x[1] for x in lines]
+    sides: list[list[int]] = [[], []]
+    weights = [0] * len(lines)
+    for i, (text, _, _, _, main, linked) in enumerate(lines):
+        if not main or not aside[i]:
+            sides[main > 0].append(i)
+            weights[i] = 0 if not main and (aside[i] or 2 * linked > len(text)) else len(text)
+    mass = [sum(weights[i] for i in side) * (MARKED if k else 1) for k, side in enumerate(sides)]
+    every = []
+    for k, (side, m) in enumerate(zip(sides, mass)):
+        every += [(side[a:b], high * m / sum(mass), MARKED if k else 1) for a, b, high in runs([weights[i] for i in side], window)]
+    kept = [r for r in every if r[1] >= surge] or ([max(every, key=lambda r: r[1] * r[2])] if every else [])
+    return " ".join(lines[i][0] for i in sorted(i for run, *_ in kept for i in run) if weights[i])
 
 
 def main_text(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:

@@ -241,6 +241,23 @@ def test_pages_by_weight_alone():
     assert [html.extract(x) for x in (None, "", "<p>", "plain &amp; simple", "<p>cut <b")] == ["", "", "", "plain & simple", "cut"]
 
 
+def test_pages_whose_markup_misleads():
+    long = "Sentence with enough words to count. " * 4
+    text = " ".join(f"{long} {long}".split())
+    two = f"<p>{long}</p><p>{long}</p>"
+    for wrapper in ("layout has-sidebar", "with-ads", "sidebar-layout"):
+        assert html.extract(f'<body><div class="{wrapper}"><article>{two}</article></div><footer>{long}</footer>') == text, wrapper
+        assert html.extract(f'<body><div class="{wrapper}">{two}</div>') == text, wrapper
+    assert html.extract(f"<article>{two}<p class='notice'>Mind the gap.</p></article>") == f"{text} Mind the gap."
+    card = "<article><h3>Also read</h3><p>One small card.</p></article>"
+    assert html.extract(f"<body><div>{two * 4}</div>{card}") == " ".join([text] * 4)
+    # marks still tell: what lies around a long article, cards of related ones, and what is short after an aside within
+    assert html.extract(f"<body><div>Some short words around it.</div><article>{two * 4}</article><div>More of them.</div>") == " ".join([text] * 4)
+    assert html.extract(f"<body><article>{two}</article><div class='related-posts'><article><p>{long}</p></article></div>") == text
+    assert html.extract(f"<article>{two}<aside><p>a</p><p>b</p><p>c</p><p>d</p></aside><p>The end.</p></article>") == f"{text} The end."
+    assert html.extract("<body><div>Words around a short article, more than it has.</div><article><p>A short article of few words.</p></article>") == "A short article of few words."
+
+
 # --- mixing
 def test_mix_is_that_of_sql(spark, sf):
     got = catalog.QUERIES["op9_pareto_mix"](spark, sf).toPandas()
