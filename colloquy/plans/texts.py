@@ -171,6 +171,24 @@ def choice_cleanup(spark, sf):
 CHOICE_CLEANUP = r"""SELECT conv_id, turn, trim(left(regexp_replace(text, '[\n|"]', ' ', 'g'), 30)) AS clean, trim(left(regexp_replace(text, '[\n|":]', ' ', 'g'), 10)) AS plain, '(omit)' AS none FROM conversations"""
 
 
+def quotes_whole(spark, sf):
+    """Straight quotes in whole texts, whose stops and commas are made curly quotes."""
+    return docs(spark, sf).select("doc_id", text.plain_quotes(F.concat(F.lit("“‘"), F.translate("text", ".,", "”’"))).alias("quoted"))
+
+
+QUOTES_WHOLE = "SELECT doc_id, chr(34) || chr(39) || replace(replace(text, '.', chr(34)), ',', chr(39)) AS quoted FROM documents"
+
+
+def choice_whole(spark, sf):
+    """Whole turns as readings, with line feeds, bars and quotes."""
+    c = table(spark, sf, "conversations")
+    said = F.concat(F.lit('a | "b"\n'), "text", F.lit(' "c" | d'))
+    return c.select("conv_id", "turn", text.clean_choice(F.concat(F.lit('Model B: "'), said, F.lit('" | Model C: "x"'))).alias("clean"), text.clean_choice(F.concat(F.lit("Decision: "), said)).alias("plain"))
+
+
+CHOICE_WHOLE = """SELECT conv_id, turn, 'a | "b"' || chr(10) || text || ' "c" | d' AS clean, 'a | "b"' || chr(10) || text || ' "c" | d' AS plain FROM conversations"""
+
+
 def print_clean(spark, sf):
     made = F.concat(F.lit("\fTHE EZRA KLEIN SHOW\n2/3/2026, 4:05 PM   Opinion | A - The New York Times\nFeb. 24, 2026\n"), F.col("text"), F.lit("\nhttps://www.nytimes.com/a 3/7\nOPINION\nThis episode of 'The Ezra Klein Show' was produced by nobody.\nx"))
     return docs(spark, sf).select("doc_id", pages.print_text(made).alias("text"), text.without_headers(F.concat(F.lit("**Ann** (0:01:02)\n"), F.col("text"))).alias("bare"), text.clean_answer(F.concat(F.lit("---\n## Title\n"), F.col("text"))).alias("answer"))
@@ -222,5 +240,5 @@ SEGMENT_JSON = """WITH c AS (SELECT *, (row_number() OVER (PARTITION BY conv_id
 SELECT conv_id, ord, CASE WHEN turn % 4 <> 0 THEN turn::DOUBLE ELSE 0.0 END AS start, turn + 0.5::DOUBLE AS stop, trim(text) AS text, 0 AS n_words FROM c WHERE turn % 3 <> 0 AND trim(text) <> ''"""
 
 
-QUERIES = {f.__name__: f for f in (normalize_words, fixed_chunks, vtt_clean, sentence_groups, join_lines, loop_words, loops_collapsed, html_text, html_segments, interview_paragraphs, speaker_carry, intro_prefix, greedy_chunks, structure_detect, choice_cleanup, print_clean, nlp_tokens, stm_rttm, segment_json)}
-ORACLES = {"normalize_words": NORMALIZE, "fixed_chunks": FIXED_CHUNKS, "vtt_clean": VTT_CLEAN, "sentence_groups": SENTENCE_GROUPS, "join_lines": JOIN_LINES, "loop_words": LOOP_WORDS, "html_segments": HTML_SEGMENTS, "speaker_carry": SPEAKER_CARRY, "intro_prefix": INTRO_PREFIX, "greedy_chunks": GREEDY_CHUNKS, "structure_detect": STRUCTURE, "choice_cleanup": CHOICE_CLEANUP, "nlp_tokens": NLP_TOKENS, "stm_rttm": STM_RTTM, "segment_json": SEGMENT_JSON}
+QUERIES = {f.__name__: f for f in (normalize_words, fixed_chunks, vtt_clean, sentence_groups, join_lines, loop_words, loops_collapsed, html_text, html_segments, interview_paragraphs, speaker_carry, intro_prefix, greedy_chunks, structure_detect, choice_cleanup, quotes_whole, choice_whole, print_clean, nlp_tokens, stm_rttm, segment_json)}
+ORACLES = {"normalize_words": NORMALIZE, "fixed_chunks": FIXED_CHUNKS, "vtt_clean": VTT_CLEAN, "sentence_groups": SENTENCE_GROUPS, "join_lines": JOIN_LINES, "loop_words": LOOP_WORDS, "html_segments": HTML_SEGMENTS, "speaker_carry": SPEAKER_CARRY, "intro_prefix": INTRO_PREFIX, "greedy_chunks": GREEDY_CHUNKS, "structure_detect": STRUCTURE, "choice_cleanup": CHOICE_CLEANUP, "quotes_whole": QUOTES_WHOLE, "choice_whole": CHOICE_WHOLE, "nlp_tokens": NLP_TOKENS, "stm_rttm": STM_RTTM, "segment_json": SEGMENT_JSON}

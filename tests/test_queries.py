@@ -28,3 +28,11 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_quotes_and_choices_of_whole_texts(spark, sf):
+    """All of a text is cleaned, not its first characters."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id", "length(text) AS n")
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").selectExpr("conv_id", "turn", "length(text) AS n")
+    assert catalog.QUERIES["quotes_whole"](spark, sf).join(docs, "doc_id").where("length(quoted) <> n + 2 OR quoted RLIKE '[‘’“”]'").count() == 0
+    assert catalog.QUERIES["choice_whole"](spark, sf).join(turns, ["conv_id", "turn"]).where("length(clean) <> n + 16 OR plain <> clean").count() == 0
