@@ -3,7 +3,7 @@
 Windows of half the length come first: those that are repeated anywhere survive, and only where one does is a window of
 twice the length looked at. At the first level one window is enough for each window of full length: the one with the
 smallest hash among those inside, which equal windows choose alike, so one in 13 is looked at. The result is that of
-looking at all windows. `levels` goes on doubling until no candidates survive.
+looking at all windows. There are these two levels only: windows of twice `length` and more aren't looked for.
 
 A word is removed if a window that covers it starts in a document with a smaller doc_id too; windows are judged on the
 input. Texts that are equal take part once, by their smallest doc_id.
