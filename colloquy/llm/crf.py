@@ -4,25 +4,30 @@ Each line is good or bad. Its potential is a linear function of features of the
 table scores transitions. The forward-backward algorithm gives each line's marginal probability of being good; weighted
 by line length they add up to the document's score, which a logistic function maps to the odds of label 1.
 
-Learning: at most `MOST_SAMPLE` labelled rows outside the held-out fold (crc32 of doc_id modulo 5 is 0), those with the
-smallest hashes of doc_id; lines take their document's label; texts of over `MOST_LINES` lines are passed over. Only
-their features reach the driver. Scoring covers every line of every text.
+Chains are cut into blocks, whose 2 x 2 products are made side by side, so that a text of many lines takes few steps; the
+result is that of the whole chain, in learning as in scoring.
+
+Learning: labelled rows outside the held-out fold (crc32 of doc_id modulo 5 is 0) in the order of hashes of doc_id, at
+most `MOST_ROWS` of them and as many as have `MOST_LINES` lines together; lines take their document's label. Only their
+features reach the driver: 136 bytes a line. Scoring covers every line of every text.
 
 Defined results: null and empty texts count as one empty line; a null doc_id is in no fold to learn from; without
-labels of both kinds every score is the share of label 1 (0.5 without any).
+labels of both kinds every score is the share of label 1 (0.5 without any). Equal texts have equal scores; rows that
+share a doc_id each count as one in the bound; a column that has the name of the score is replaced by it, any others
+stay; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colloquy.llm import words
 
-MOST_SAMPLE, MOST_LINES, SEGMENT = 6000, 2000, 32
+MOST_ROWS, MOST_LINES, BLOCK = 6000, 120_000, 32
 FOLDS, THRESHOLD = 5, 0.3
 
 _KIND = np.zeros(256, np.uint8)  # 0 other, 1 upper case, 2 digit, 3 white, 4 plain punctuation, 5 symbol, 6 "!", 7 "|", 8 beyond ASCII
@@ -100,32 +105,61 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.hstack([f, near]), size, bound
 
 
-def marginals(scores: np.ndarray, bound: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+def steps(at: np.ndarray, length: np.ndarray):
+    """The k-th items of all runs (first item, length) of more than k, for k = 0, 1, ...; with the runs they are of."""
+    order = np.argsort(-length, kind="stable")
+    at, length = at[order], length[order]
+    for k, n in enumerate(np.searchsorted(-length, -np.arange(int(length.max(initial=0))), "left").tolist()):
+        yield order[:n], at[:n] + k
+
+
+def unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors or matrices that add up to 1, and what they added up to."""
+    total = x.sum(tuple(range(1, x.ndim)))
+    return x / total.reshape(len(x), *[1] * (x.ndim - 1)), total
+
+
+def marginals(scores: np.ndarray, bound: np.ndarray, table: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, float]:
     """P(good) of each line, expected transitions summed over all chains, and the sum of the chains' log partition functions.
 
-    All chains take one step at a time; longer chains come first, so those still running are a prefix.
+    A line's matrix is transition times potential; a chain is cut into blocks, and the products of blocks lead from one
+    to the next.
     """
-    length = np.diff(bound)
-    order = np.argsort(-length, kind="stable")
-    at, length = bound[:-1][order], length[order]
     e = np.stack([np.ones(len(scores)), np.exp(np.clip(scores, -30, 30))], 1)
     a = np.exp(table)
-    forward, back, scale = np.empty_like(e), np.ones_like(e), np.ones(len(e))
-    alive = np.searchsorted(-length, -np.arange(int(length.max(initial=0))), "left")  # chains longer than t
-    for t, n in enumerate(alive.tolist()):
-        i = at[:n] + t
-        x = e[i] if not t else (forward[i - 1] @ a) * e[i]
-        scale[i] = x.sum(1)
-        forward[i] = x / scale[i][:, None]
-    for t in range(len(alive) - 2, -1, -1):
-        i = at[: alive[t + 1]] + t
-        back[i] = (back[i + 1] * e[i + 1]) @ a.T / scale[i + 1][:, None]
+    first = np.zeros(len(e), bool)
+    first[bound[:-1]] = True
+    mats = np.where(first[:, None, None], np.eye(2), a) * e[:, None, :]
+    n_blocks = -(-np.diff(bound) // block)
+    chain_at = np.concatenate([[0], np.cumsum(n_blocks)])  # blocks of chain i: chain_at[i] .. chain_at[i + 1]
+    within = np.arange(chain_at[-1]) - np.repeat(chain_at[:-1], n_blocks)
+    start = np.repeat(bound[:-1], n_blocks) + within * block
+    size = np.minimum(np.repeat(bound[1:], n_blocks) - start, block)
+    product, logs = np.broadcast_to(np.eye(2), (len(start), 2, 2)).copy(), 0.0
+    for run, i in steps(start, size):
+        product[run], total = unit(product[run] @ mats[i])
+        logs += np.log(total).sum()
+    before, after = np.ones((len(start), 2)), np.ones((len(start), 2))
+    last = np.ones((len(n_blocks), 2))
+    for run, i in steps(chain_at[:-1], n_blocks):
+        before[i] = last[run]
+        last[run], total = unit((last[run][:, None, :] @ product[i])[:, 0])
+        logs += np.log(total).sum()
+    ends = np.ones((len(n_blocks), 2))
+    for run, i in reversed(list(steps(chain_at[:-1], n_blocks))):
+        after[i] = ends[run]
+        ends[run], _ = unit((product[i] @ ends[run][:, :, None])[:, :, 0])
+    forward, back = np.empty_like(e), np.empty_like(e)
+    for run, i in steps(start, size):
+        before[run], _ = unit((before[run][:, None, :] @ mats[i])[:, 0])
+        forward[i] = before[run]
+    for run, i in reversed(list(steps(start, size))):
+        back[i] = after[run]
+        after[run], _ = unit((mats[i] @ after[run][:, :, None])[:, :, 0])
     good = forward[:, 1] * back[:, 1] / (forward * back).sum(1)
-    inner = np.ones(len(e), bool)
-    inner[bound[:-1]] = False
-    i = np.flatnonzero(inner)
-    pairs = (forward[i - 1][:, :, None] * a[None]) * ((e[i] * back[i]) / scale[i][:, None])[:, None, :]
-    return good, pairs.sum(0), float(np.log(scale).sum())
+    i = np.flatnonzero(~first)
+    pairs, _ = unit((forward[i - 1][:, :, None] * a[None]) * (e[i] * back[i])[:, None, :])
+    return good, pairs.sum(0), float(logs)
 
 
 class Model:
@@ -157,18 +191,17 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 250, ri
     size = np.concatenate([s for _, s, _ in samples])
     bound = np.concatenate([[0], np.cumsum([len(s) for _, s, _ in samples])])
     mean, std = x.mean(0), x.std(0) + 1e-6
-    z = np.hstack([(x - mean) / std, np.ones((len(x), 1))])
+    z = np.hstack([(x - mean) / std, np.ones((len(x), 1))]).astype(np.float32)
     y = np.repeat(labels, np.diff(bound))
-    cuts = np.unique(np.concatenate([bound, *[np.arange(a, b, SEGMENT) for a, b in zip(bound[:-1], bound[1:], strict=True)]]))
     inner = np.ones(len(x), bool)
-    inner[cuts[:-1]] = False
+    inner[bound[:-1]] = False
     seen = np.bincount(2 * y[:-1][inner[1:]] + y[1:][inner[1:]], minlength=4).reshape(2, 2)
     p = np.zeros(z.shape[1] + 4)
     m, v = np.zeros_like(p), np.zeros_like(p)
     n = len(x)
     for k in range(1, rounds + 1):
-        good, pairs, _ = marginals(z @ p[:-4], cuts, p[-4:].reshape(2, 2))
-        grad = np.concatenate([z.T @ (y - good), (seen - pairs).ravel()]) / n - ridge * p
+        good, pairs, _ = marginals(z @ p[:-4].astype(np.float32), bound, p[-4:].reshape(2, 2))
+        grad = np.concatenate([z.T @ (y - good).astype(np.float32), (seen - pairs).ravel()]) / n - ridge * p
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         p += 0.1 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
     model = Model(mean, std, p[:-4], p[-4:].reshape(2, 2), 1.0, 0.0, prior)
@@ -189,32 +222,40 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, most: int = MOST_SAMPLE) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """Features of at most `most` labelled texts outside the held-out fold, in an order that reruns repeat."""
+def sample(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_lines: int = MOST_LINES) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """Features of labelled texts outside the held-out fold, in an order that reruns repeat: the first ones whose number
+    and whose lines together are within the bounds. A text that has more lines alone is passed over."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.select("doc_id", F.col("quality").cast("int").alias("label"), F.xxhash64("doc_id").alias("order"))
-    chosen = known.orderBy("order", "doc_id", "label").limit(most)  # its size is bounded by the limit
+    known = known.orderBy("order", "doc_id", "label").limit(most_rows)  # its size is bounded by the limit
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    order = ["order", "doc_id", "label", "name"]
+    rows = texts.join(F.broadcast(known), "doc_id").select(*order[:3], F.xxhash64("text").alias("name"), "text")
+    sizes = rows.select(*order, (F.regexp_count("text", F.lit("\n")) + 1).alias("n")).where(F.col("n") <= most_lines).orderBy(*order).limit(most_rows)
+    upto = F.sum("n").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))  # at most most_rows rows
+    chosen = sizes.withColumn("upto", upto).where(F.col("upto") <= most_lines).select(*order).distinct()
 
     def work(batches):
         for b in batches:
             for i in range(b.num_rows):
                 data, offs = words.buffers(b.column("text").slice(i, 1))
-                if np.count_nonzero(data == 0x0A) >= MOST_LINES:
-                    continue
                 x, size, _ = features(data, offs)
-                yield pa.RecordBatch.from_arrays([b.column("order").slice(i, 1), b.column("doc_id").slice(i, 1), b.column("label").slice(i, 1), pa.array([x.astype("<f4").tobytes()], pa.binary()), pa.array([size.astype("<i8").tobytes()], pa.binary())], ["order", "doc_id", "label", "x", "size"])
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, 1) for c in order), pa.array([x.astype("<f4").tobytes()], pa.binary()), pa.array([size.astype("<i8").tobytes()], pa.binary())], [*order, "x", "size"])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInArrow(work, "order long, doc_id long, label int, x binary, size binary").collect()
-    rows = sorted(rows, key=lambda r: tuple(r))
-    out = []
-    for r in rows:
+    found = rows.join(F.broadcast(chosen), order).select(*order, "text").mapInArrow(work, "order long, doc_id long, label int, name long, x binary, size binary")
+    got = sorted(found.collect(), key=lambda r: tuple(r))[:most_rows]
+    out, n = [], 0
+    for r in got:
         size = np.frombuffer(r.size, "<i8")
-        out.append((np.frombuffer(r.x, "<f4").reshape(len(size), -1).astype(np.float64), size, r.label))
+        n += len(size)
+        if n <= most_lines:  # equal rows count one by one
+            out.append((np.frombuffer(r.x, "<f4").reshape(len(size), -1), size, r.label))
     return out
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """Add each text's score."""
+    docs = docs.drop(*[c for c in (out,) if c != text])
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
 
     def work(batches):
