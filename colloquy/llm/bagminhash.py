@@ -9,12 +9,14 @@ weight can't be first in any register and aren't generated; where a register sta
 
 Registers are banded. In each bucket all are compared with one document, its head, and after that those that no link has
 joined to the head's component with the whole bucket, in blocks that put out links only. Comparison is exact: overlap of the bags, counts included, over their union.
-Classes are the connected components of the links. Texts that are equal are one text from the start, so copies are never
+Classes are the connected components of the links. In large classes the links are those that hold it together, not all
+that there are; none between different classes is missed but by the bands. Texts that are equal are one text from the start, so copies are never
 paired.
 
 Defined results: null text is empty text; texts without words have no shingles and are near their exact copies only;
 texts of one to four words have one shingle, all of their words; rows with the same doc_id are one document if their texts
-are equal, and else links between them join their classes. Rows without doc_id are left out of the classes.
+are equal, and else links between them join their classes. Rows without doc_id are left out of the classes. Columns but
+doc_id and text don't matter, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -28,12 +30,15 @@ from pyspark.sql import functions as F
 
 from colloquy.llm import words
 from colloquy.llm.components import components
-from colloquy.llm.shared import written
+from colloquy.llm.shared import unused, written
 
 K, SIMILARITY = 5, Fraction(4, 5)
 BANDS, ROWS = 40, 7  # at a similarity of 0.8 a pair shares no bucket with a probability of 0.00008
 EIGHT = 8
 _LOW = np.uint64(0xFFFFFFFF)
+LINKS = "a long, b long, common long, either long"
+#: A block of a bucket has about so many documents and shingles that ask, and that are asked; one longer text is a block.
+ASKING, ASKED = (64, 1 << 15), (512, 1 << 18)
 
 
 def bags(data: np.ndarray, offs: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,14 +152,14 @@ def sketch(docs: DataFrame, n_bands: int = BANDS, n_rows: int = ROWS, k: int = K
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: Fraction = SIMILARITY, k: int = K) -> DataFrame:
-    """The pairs (a, b) whose bags overlap enough."""
+    """(a, b, common, either) of the pairs whose bags overlap enough: the overlap's size, and the union's."""
     over, under = similarity.numerator, similarity.denominator
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("s"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t"))
 
     def work(batches):
         for b in batches:
-            good = np.zeros(b.num_rows, bool)
+            good, both_of = np.zeros(b.num_rows, bool), np.zeros((2, b.num_rows), np.int64)
             sides = [words.buffers(b.column(c)) for c in ("s", "t")]
             both = np.diff(sides[0][1]) + np.diff(sides[1][1])
             for i, j in words.chunks(np.concatenate([[0], np.cumsum(both)])):
@@ -166,27 +171,38 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: Fraction = SIMILARI
                 common = np.bincount(d[twin], np.minimum(c[twin], c[twin + 1]), j - i)
                 union = np.bincount(d, c, j - i) - common
                 good[i:j] = (common * under >= union * over) & (union > 0)
-            yield b.select(["a", "b"]).filter(pa.array(good))
+                both_of[:, i:j] = common, union
+            got = pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), *(pa.array(x) for x in both_of)], ["a", "b", "common", "either"])
+            yield got.filter(pa.array(good))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(work, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(work, LINKS)
 
 
-def rest_links(placed: DataFrame, texts: DataFrame, similarity: Fraction, k: int, few: int = 64, many: int = 512) -> DataFrame:
-    """Links between documents of a bucket in different components, found in blocks and without making rows of pairs.
+def rest_links(placed: DataFrame, texts: DataFrame, similarity: Fraction, k: int, asking: tuple[int, int] = ASKING, asked: tuple[int, int] = ASKED) -> DataFrame:
+    """Links (a, b, common, either) between documents of a bucket in different components, found in blocks and without
+    making rows of pairs.
 
-    The query set of a bucket is what isn't in its head's component; it meets all of the bucket, `few` by `many`
-    documents at a time, and only links are put out.
+    The query set of a bucket is what isn't in its head's component; it meets all of the bucket whose size allows a link,
+    a block at a time, and only links are put out. Sizes are dealt to classes a similarity apart, so that only
+    neighbouring classes meet; blocks are bounded by documents and by shingles.
     """
     over, under = similarity.numerator, similarity.denominator
     kinds = placed.groupBy("key").agg(F.max(F.when(F.col("is_head"), F.col("comp"))).alias("main"), F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("size")).where("x < y and size > 2")
-    rest = placed.join(kinds.select("key", "main", "size"), "key").withColumn("asks", F.col("comp") != F.col("main"))
-    asked = rest.groupBy("key").agg(F.count_if("asks").alias("n_asks"))
-    rest = rest.join(asked, "key").withColumn("nq", F.ceil(F.col("n_asks") / few).cast("int")).withColumn("nt", F.ceil(F.col("size") / many).cast("int"))
+    rest = placed.join(written(kinds.select("key", "main"), "near-open"), "key").withColumn("asks", F.col("comp") != F.col("main"))
+    # whoever asks meets its own class and the ones beside it; `c` is the class of the one that asks
+    own = F.floor(F.log(F.col("n").cast("double")) / float(np.log(under / over) * (1 + 1e-9))).cast("int")
+    rest = written(rest.withColumn("own", own).select("key", "own", "doc_id", "n", "comp", "asks"), "near-asking")
+    queries = rest.where("asks").withColumn("c", F.col("own"))
+    targets = rest.withColumn("c", F.explode(F.array(F.col("own") - 1, F.col("own"), F.col("own") + 1)))
+    blocks = lambda most: F.ceil(F.greatest(F.count("*") / most[0], F.sum("n") / most[1])).cast("int")
+    n_asking = written(queries.groupBy("key", "c").agg(blocks(asking).alias("nq")), "near-blocks")
+    n_asked = written(targets.join(n_asking, ["key", "c"], "left_semi").groupBy("key", "c").agg(blocks(asked).alias("nt")).join(n_asking, ["key", "c"]), "near-blocks")
+    queries, targets = queries.join(n_asked, ["key", "c"]), targets.join(n_asked, ["key", "c"])
     block = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    queries = rest.where("asks").withColumn("q", block("nq")).select("key", "q", every("nt").alias("t"), "doc_id", "n", "comp", F.lit(True).alias("asks"))
-    targets = rest.withColumn("t", block("nt")).select("key", every("nq").alias("q"), "t", "doc_id", "n", "comp", F.lit(False).alias("asks"))
-    rows = queries.unionByName(targets).join(texts, "doc_id").select("key", "q", "t", "doc_id", "comp", "asks", "text")
+    queries = queries.withColumn("q", block("nq")).select("key", "c", "q", every("nt").alias("t"), "doc_id", "n", "comp", F.lit(True).alias("asks"))
+    targets = targets.withColumn("t", block("nt")).select("key", "c", every("nq").alias("q"), "t", "doc_id", "n", "comp", F.lit(False).alias("asks"))
+    rows = queries.unionByName(targets).join(texts, "doc_id").select("key", "c", "q", "t", "doc_id", "comp", "asks", "text")
 
     def work(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -204,26 +220,42 @@ def rest_links(placed: DataFrame, texts: DataFrame, similarity: Fraction, k: int
         a, x = d[mine], name[mine]
         b, y = d[theirs], name[theirs]
         lo, hi = np.searchsorted(y, x, "left"), np.searchsorted(y, x, "right")
-        common = np.zeros(len(asks) * len(asks), np.int32) if len(a) else np.zeros(0, np.int32)
+        mine = np.flatnonzero(asks)
+        place = np.zeros(len(asks), np.int64)
+        place[mine] = np.arange(len(mine))
+        common = np.zeros(len(mine) * len(asks), np.int32) if len(a) else np.zeros(0, np.int32)
         cuts = np.concatenate([[0], np.cumsum(hi - lo)])
         for i, j in words.chunks(cuts, 1 << 21):
             reach = hi[i:j] - lo[i:j]
             at = np.repeat(lo[i:j] - (np.cumsum(reach) - reach), reach) + np.arange(int(reach.sum()))
-            common += np.bincount(np.repeat(a[i:j], reach) * len(asks) + b[at], minlength=len(common)).astype(np.int32)
+            common += np.bincount(np.repeat(place[a[i:j]], reach) * len(asks) + b[at], minlength=len(common)).astype(np.int32)
         p = np.flatnonzero(common)
-        i, j, o = p // len(asks), p % len(asks), common[p].astype(np.int64)
+        i, j, o = mine[p // len(asks)], p % len(asks), common[p].astype(np.int64)
         good = (comp[i] != comp[j]) & (o * under >= (n[i] + n[j] - o) * over)
-        return pa.table({"a": pa.array(ids[i[good]], pa.int64()), "b": pa.array(ids[j[good]], pa.int64())})
+        i, j, o = i[good], j[good], o[good]
+        return pa.table({"a": pa.array(np.minimum(ids[i], ids[j]), pa.int64()), "b": pa.array(np.maximum(ids[i], ids[j]), pa.int64()), "common": pa.array(o), "either": pa.array(n[i] + n[j] - o)})
 
-    return rows.groupBy("key", "q", "t").applyInArrow(work, "a long, b long").distinct()
+    return rows.groupBy("key", "c", "q", "t").applyInArrow(work, LINKS).distinct()
 
 
 def near_classes(docs: DataFrame, similarity: Fraction = SIMILARITY, n_bands: int = BANDS, n_rows: int = ROWS, k: int = K) -> DataFrame:
-    """(doc_id, class_id, copy_of): class_id is the smallest doc_id of the class, copy_of that of the exact copies."""
+    """(doc_id, class_id, copy_of, linked_to, similarity): class_id is the smallest doc_id of the class, copy_of that of
+    the exact copies; linked_to is the document of another text that the copies' first is most alike, of those that it was
+    compared with, and null in a class of one text."""
+    classes, links = classes_and_links(docs, similarity, n_bands, n_rows, k)
+    share = F.struct((F.col("common") / F.col("either")).alias("s"), (-F.col("b")).alias("o"))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "common", "either"))
+    best = both.groupBy(F.col("a").alias("copy_of")).agg(F.max(share).alias("m"))
+    return classes.join(best, "copy_of", "left").select("doc_id", "class_id", "copy_of", (-F.col("m.o")).alias("linked_to"), F.col("m.s").alias("similarity"))
+
+
+def classes_and_links(docs: DataFrame, similarity: Fraction = SIMILARITY, n_bands: int = BANDS, n_rows: int = ROWS, k: int = K) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, class_id, copy_of), and the links (a, b, common, either) between first documents of texts that hold the
+    classes together, each with its exact overlap."""
     docs = docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     names = docs.select("doc_id", F.sha2("text", 256).alias("name"))
-    first = names.groupBy("name").agg(F.min("doc_id").alias("copy_of"))
-    copies = written(names.join(first, "name").select("doc_id", "copy_of").distinct(), "near-copies")
+    again = written(names.groupBy("name").agg(F.min("doc_id").alias("copy_of"), F.count("*").alias("size")).where("size > 1").select("name", "copy_of"), "near-again")
+    copies = written(names.join(again, "name", "left").select("doc_id", F.coalesce("copy_of", "doc_id").alias("copy_of")).distinct(), "near-copies")
     # one row of each text; a doc_id that names several texts keeps them all
     own = written(sketch(docs, n_bands, n_rows, k).join(copies.where("doc_id = copy_of").select("doc_id").distinct(), "doc_id").distinct(), "near-bands")
     keyed = own.select("doc_id", "n", F.explode("keys").alias("key"))
@@ -238,13 +270,16 @@ def near_classes(docs: DataFrame, similarity: Fraction = SIMILARITY, n_bands: in
     sizes = own.select(F.col("doc_id").alias("a"), F.col("n").alias("m"))
     tried = written(members.where("head <> doc_id").select(F.col("head").alias("a"), F.col("doc_id").alias("b"), "n").distinct().join(sizes, "a").where(fits).select("a", "b").distinct(), "near-pairs")
     links = written(verified(tried, docs, similarity, k), "near-links")
-    comp = written(components(links), "near-components")
+    comp = written(components(links.select("a", "b")), "near-components")
     placed = members.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", "n", (F.col("doc_id") == F.col("head")).alias("is_head"), F.coalesce("comp", "doc_id").alias("comp"))
-    links = links.union(rest_links(written(placed, "near-placed"), docs, similarity, k))
+    links = links.unionByName(rest_links(written(placed, "near-placed"), docs, similarity, k))
+    links = written(links.groupBy("a", "b").agg(F.max("common").alias("common"), F.max("either").alias("either")), "near-all-links")
     # copies are joined to their text's first document, which also joins texts that share a doc_id
-    joined = components(links.union(copies.select(F.col("copy_of").alias("a"), F.col("doc_id").alias("b"))).distinct())
+    joined = components(links.select("a", "b").union(copies.where("copy_of <> doc_id").select(F.col("copy_of").alias("a"), F.col("doc_id").alias("b"))).distinct())
     ids = copies.groupBy("doc_id").agg(F.min("copy_of").alias("copy_of"))
-    return ids.join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("comp", "doc_id").alias("class_id"), "copy_of")
+    joined = written(joined, "near-joined")
+    classes = ids.join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("comp", "doc_id").alias("class_id"), "copy_of")
+    return written(classes, "near-classes"), links
 
 
 def kept(docs: DataFrame, **how) -> DataFrame:
@@ -252,11 +287,12 @@ def kept(docs: DataFrame, **how) -> DataFrame:
 
     Of rows that share that doc_id one stays.
     """
-    classes = near_classes(docs, **how)
+    classes, _ = classes_and_links(docs, **how)
     drop = written(classes.where("doc_id <> class_id").select("doc_id"), "near-drop")
     rest = docs.join(drop, "doc_id", "left_anti")
-    same = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy(F.xxhash64("text"), *[c for c in docs.columns if c not in ("doc_id", "text")])
-    return rest.withColumn("_row", F.row_number().over(same)).where("doc_id is null or _row = 1").select(docs.columns)
+    row = unused(docs, "row")
+    same = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy(F.xxhash64("text"), F.to_json(F.struct(*docs.columns)))
+    return rest.withColumn(row, F.row_number().over(same)).where(f"doc_id is null or {row} = 1").select(docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset (tests), a folder of this machine."""
+    """spark.checkpoint.dir; where it is unset and driver and executors are one process (local[n]), a folder of this machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="colloquy-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -25,3 +26,10 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """The name with as many underscores before it as it takes to be no column's."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = "_" + name
+    return name
