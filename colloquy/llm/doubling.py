@@ -1,16 +1,22 @@
 """Substring deduplication over words by level-wise doubling.
 
 Windows of half the length come first: those that are repeated anywhere survive, and only where one does is a window of
-twice the length looked at. At the first level one window is enough for each window of full length: the one with the
+twice the length looked at. At this first level one window is enough for each window of full length: the one with the
 smallest hash among those inside, which equal windows choose alike, so one in 13 is looked at. The result is that of
-looking at all windows. There are these two levels only: windows of twice `length` and more aren't looked for.
+looking at all windows. From the full length on, a window of twice the length is looked at only where both its halves
+survive, and is named by the pair of their names, until no candidates survive.
 
-A word is removed if a window that covers it starts in a document with a smaller doc_id too; windows are judged on the
-input. Texts that are equal take part once, by their smallest doc_id.
+A word is removed if a window of `length` words that covers it starts in a document with a smaller doc_id too; windows
+are judged on the input. `longest` is the largest level, length times a power of two, at which such a window is there.
+Texts that are equal take part once, by their smallest doc_id.
+
+Repeated windows are found by sums, made partly before the shuffle, and then by a join that can be split, so that a
+window that very many texts share is no single task's work.
 
 Defined results: null text is empty text; texts shorter than a window keep all words; rows with the same doc_id are one
 document, so that windows they share are no reason to remove; rows without doc_id are after all others and take no part
-in removing, but windows that they share with a document are removed from them.
+in removing, but windows that they share with a document are removed from them. Columns but doc_id and text don't
+matter, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -19,7 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm import words
@@ -33,11 +39,11 @@ def prepared(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("doc_id").isNull().alias("no_id"))
 
 
-def firsts(docs: DataFrame) -> DataFrame:
-    """(doc_id, name, first): the smallest doc_id with the same text."""
+def copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, name, first) of texts that are there more than once: the smallest doc_id with the same text."""
     names = docs.select("doc_id", F.sha2("text", 256).alias("name"))
-    first = names.groupBy("name").agg(F.min("doc_id").alias("first"))
-    return names.join(first, "name").distinct()
+    again = names.groupBy("name").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("name", "first")
+    return names.join(written(again, "repeat-texts"), "name").distinct()
 
 
 def anchors(docs: DataFrame, length: int) -> DataFrame:
@@ -76,8 +82,19 @@ def places(bound: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return first, owner[first]
 
 
+AT = pa.list_(pa.int32())
+WINDOWS = "h long, g long, doc_id long, at array<int>"
+
+
+def grouped(key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The first item of each key, and the places of each."""
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])) if len(key) else np.zeros(0, np.int64)
+    return order[first], pa.ListArray.from_arrays(pa.array(np.append(first, len(key)), pa.int32()), pa.array(place[order], pa.int32()))
+
+
 def candidates(docs: DataFrame, length: int) -> DataFrame:
-    """(h, g, doc_id): two hashes of each full window whose half-length window survived (`known`), once a text."""
+    """(h, g, doc_id, at): two hashes of each full window whose half-length window survived (`known`), once a text with its places."""
     half = length // 2
 
     def work(batches):
@@ -96,10 +113,63 @@ def candidates(docs: DataFrame, length: int) -> DataFrame:
                 near = alive[first + length - half + 1] > alive[first]
                 first, text = first[near], text[near]
                 both = [full[np.searchsorted(pos, first)] if len(first) else np.zeros(0, np.uint64) for pos, full in (words.windows(h, w.bound, length, s) for s in (0, 1))]
-                _, once = np.unique(words.mix(both[0] ^ words.mix(text.astype(np.uint64))), return_index=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x[once].view(np.int64)) for x in both] + [pa.array(ids[i + text[once]])], ["h", "g", "doc_id"])
+                once, at = grouped(words.mix(both[0] ^ words.mix(text.astype(np.uint64))), first - w.bound[text])
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[once].view(np.int64)) for x in both), pa.array(ids[i + text[once]]), at], ["h", "g", "doc_id", "at"])
+
+    return docs.mapInArrow(work, WINDOWS)
 
-    return docs.mapInArrow(work, "h long, g long, doc_id long")
+
+def doubled(alive: DataFrame, length: int) -> DataFrame:
+    """(h, g, doc_id, at): windows of twice `length` words whose halves are both in `windows` (h, g, at, later)."""
+
+    def work(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                own = b.column("windows")[i].values
+                at = own.field("at")
+                pos = at.flatten().to_numpy()
+                order = np.argsort(pos)
+                times = np.diff(at.offsets.to_numpy())
+                names = [np.repeat(own.field(c).to_numpy().view(np.uint64), times)[order] for c in ("h", "g")]
+                pos = pos[order]
+                half = np.minimum(np.searchsorted(pos, pos + length), max(len(pos) - 1, 0))
+                both = np.flatnonzero(pos[half] == pos + length)
+                names = [words.mix(words.mix(x[both]) * words.BASES[0] + x[half[both]]) for x in names]
+                once, at = grouped(names[0], pos[both])
+                if len(once):
+                    yield pa.RecordBatch.from_arrays([*(pa.array(x[once].view(np.int64)) for x in names), pa.array([b.column("doc_id")[i].as_py()] * len(once), pa.int64()), at], ["h", "g", "doc_id", "at"])
+
+    return alive.select("doc_id", "windows").mapInArrow(work, WINDOWS)
+
+
+def survivors(windows: DataFrame, tag: str) -> DataFrame:
+    """(doc_id, windows): each document's windows (h, g, at, later) that another document has too; later: one before it."""
+    windows = written(windows, f"{tag}-windows")
+    again = written(windows.groupBy("h", "g").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("h", "g", "x"), f"{tag}-again")
+    both = windows.join(again, ["h", "g"]).select("doc_id", F.struct("h", "g", "at", (F.col("x") < F.col("doc_id")).alias("later")).alias("w"))
+    return written(both.groupBy("doc_id").agg(F.collect_list("w").alias("windows")), f"{tag}-alive")
+
+
+def copies_only(docs: DataFrame, same: DataFrame) -> DataFrame:
+    """The doc_ids of one text that an earlier document has too; what those repeat, the earlier one does."""
+    several = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    return written(same.where("first < doc_id").select("doc_id").distinct().join(several, "doc_id", "left_anti"), "repeat-passed")
+
+
+def levels(docs: DataFrame, length: int, passed: DataFrame) -> list[tuple[int, DataFrame]]:
+    """(words, survivors) of each level from `length` on, as long as there are any; `passed` doc_ids take no part.
+
+    What is left falls at each level, so that the last ones are small.
+    """
+    often = written(anchors(docs, length).groupBy("h").agg(F.min("spot").alias("x"), F.max("spot").alias("y")).where("x <> y").select("h"), "repeat-often")
+    near = anchors(docs, length).join(often, "h").select("doc_id", "h").join(passed, "doc_id", "left_anti")
+    known = written(sets(near, "known"), "repeat-level1")
+    out, now = [], survivors(candidates(docs.select("doc_id", "text").join(known, "doc_id"), length), f"repeat-{length}")
+    while not now.isEmpty():
+        out.append((length, now))
+        now = survivors(doubled(now, length), f"repeat-{2 * length}")
+        length *= 2
+    return out
 
 
 def sets(df: DataFrame, name: str) -> DataFrame:
@@ -108,27 +178,28 @@ def sets(df: DataFrame, name: str) -> DataFrame:
 
 
 def removed(docs: DataFrame, length: int = LENGTH, text_out: bool = False) -> DataFrame:
-    """Per row: doc_id, n_words, n_removed, kept_sha256, and on request the kept words as text."""
+    """Per row: doc_id, n_words, n_removed, kept_sha256, longest, and on request the kept words as text."""
     if length < 2 or length % 2:
         raise ValueError("the length of a window is even")
     docs = prepared(docs)
-    first = written(firsts(docs), "repeat-firsts")
-    once = first.where("doc_id = first").select("doc_id").distinct()
-    w = Window.partitionBy("h")
-    level1 = anchors(docs, length).withColumn("x", F.min("spot").over(w)).withColumn("y", F.max("spot").over(w)).where("x <> y").select("doc_id", "h")
-    alive = written(sets(level1.join(once, "doc_id", "left_semi"), "known"), "repeat-level1")
-    w = Window.partitionBy("h", "g")
-    level2 = candidates(docs.select("doc_id", "text").join(alive, "doc_id"), length).withColumn("x", F.min("doc_id").over(w)).where("x < doc_id").select("doc_id", "h")
-    found = written(sets(level2, "known"), "repeat-level2")
-    copies = first.groupBy("doc_id").agg(F.collect_set(F.when(F.col("first") < F.col("doc_id"), F.col("name"))).alias("copy"))
-    marks = copies.where("size(copy) > 0").join(found, "doc_id", "full_outer").select("doc_id", "known", "copy")
-    names = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * text_out
+    same = written(copies(docs), "repeat-copies")
+    found = levels(docs, length, copies_only(docs, same))
+    later = [df.select("doc_id", F.filter("windows", lambda w: w["later"]).alias("w")).where("size(w) > 0") for _, df in found]
+    known = later[0].select("doc_id", F.transform("w", lambda w: w["h"]).alias("known")) if later else docs.sparkSession.createDataFrame([], "doc_id long, known array<long>")
+    reach = docs.sparkSession.createDataFrame([], "doc_id long, longest long")
+    for (n, _), df in zip(found, later, strict=True):
+        reach = reach.union(df.select("doc_id", F.lit(n).cast("long")))
+    reach = reach.groupBy("doc_id").agg(F.max("longest").alias("longest"))
+    copy = same.groupBy("doc_id").agg(F.collect_set(F.when(F.col("first") < F.col("doc_id"), F.col("name"))).alias("copy")).where("size(copy) > 0")
+    marks = known.join(reach, "doc_id").join(copy, "doc_id", "full_outer")
+    marks = written(marks.select("doc_id", "known", "longest", "copy"), "repeat-marks")
+    names = "doc_id long, n_words long, n_removed long, kept_sha256 string, longest long" + ", kept string" * text_out
 
     def work(batches):
         for b in batches:
             data, offs = words.buffers(b.column("text"))
             known, known_offs = words.lists(b.column("known"))
-            whole = b.column("copy").to_pylist()
+            whole, longest = b.column("copy").to_pylist(), b.column("longest").to_pylist()
             rows = []
             for i, j in words.chunks(offs):
                 part = data[offs[i] : offs[j]]
@@ -143,18 +214,22 @@ def removed(docs: DataFrame, length: int = LENGTH, text_out: bool = False) -> Da
                 for k in range(j - i):
                     a, z = w.bound[k], w.bound[k + 1]
                     text = part[w.offs[k] : w.offs[k + 1]].tobytes()
+                    level = longest[i + k] or 0
                     if whole[i + k] and z - a >= length and hashlib.sha256(text).hexdigest() in whole[i + k]:
                         gone[a:z] = True
+                        level = length << int((z - a) // length).bit_length() - 1
+                    elif not gone[a:z].any():
+                        level = 0
                     keep = a + np.flatnonzero(~gone[a:z])
                     kept = b" ".join([part[s:e].tobytes() for s, e in zip(w.start[keep].tolist(), w.end[keep].tolist(), strict=True)]) if len(keep) < z - a else b" ".join(text.split())
-                    rows.append((int(z - a), int(z - a - len(keep)), hashlib.sha256(kept).hexdigest(), kept))
-            n, gone_n, sha, kept = zip(*rows, strict=True) if rows else ((), (), (), ())
+                    rows.append((int(z - a), int(z - a - len(keep)), hashlib.sha256(kept).hexdigest(), level, kept))
+            n, gone_n, sha, level, kept = zip(*rows, strict=True) if rows else [()] * 5
             ids = pa.array([None if x else y for x, y in zip(b.column("no_id").to_pylist(), b.column("doc_id").to_pylist(), strict=True)], pa.int64())
-            cols = [ids, pa.array(n, pa.int64()), pa.array(gone_n, pa.int64()), pa.array(sha, pa.string())]
+            cols = [ids, pa.array(n, pa.int64()), pa.array(gone_n, pa.int64()), pa.array(sha, pa.string()), pa.array(level, pa.int64())]
             cols += [pa.array([x.decode() for x in kept], pa.string())] * text_out
             yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in names.split(", ")])
 
-    return docs.join(marks, "doc_id", "left").select("doc_id", "text", "no_id", "known", "copy").mapInArrow(work, names)
+    return docs.join(marks, "doc_id", "left").select("doc_id", "text", "no_id", "known", "longest", "copy").mapInArrow(work, names)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
