@@ -8,17 +8,21 @@ value only, so equal values stay linked across documents and different ones stay
 | kind | validated by | what is permuted |
 |-|-|-|
 | email | form | name, and domain but its last label |
-| phone | form with country code (+ or 00), or national: area in brackets, 3-3-4, or a trunk 0 and 9 to 12 digits in groups | digits after the country code or trunk 0 |
+| phone | form with country code (+ or 00), or national: area in brackets, 3-3-4, or a trunk 0 and 9 to 12 digits in groups | digits after the country code or trunk 0, alike however they are grouped |
 | card | 13 to 19 digits, plain or grouped, Luhn | all digits but the last, which is the new check digit |
 | ip | four octets up to 255 | the 32 bits |
 | ssn | areas, groups and serials that can be issued | the number among all such numbers |
 | iban | modulo 97 | account part; new check digits |
-| date | calendar, 1800 to 2199, year first or last, days and months of one or two digits | the day among those 146,097 |
+| date | calendar, 1800 to 2199, year first or last, days and months of one or two digits | the day among those 146,097; among those above 12 where the day is written before the month with / or - |
 | secret | a key word (quoted or not), = or :, and 16 characters or more, dots within | characters within hexadecimal digits or their classes |
 
 Candidates that fail validation are left as they are, and so are plain runs of digits that could be a national number
-without any sign of it. Dates whose day or month lacks its zero get a date without such zeros. Defined results: null text stays null with nothing found; empty
-text stays empty. Texts are worked on alone: no shuffle.
+without any sign of it. Dates whose day or month lacks its zero get a date without such zeros, that of the same date
+written with them. A walk along the permutation that has met no date of its form after 64 steps (once in 10**20) leaves
+the date as it is. Defined results: null text stays null with nothing found; empty text stays empty; equal rows get
+equal texts; columns of any names stay as they are; an empty table gives an empty one. Loops in patterns are bounded or
+possessive and long texts are worked on as arrays, so that no text overflows a stack. Texts are worked on alone: no
+shuffle.
 """
 
 from __future__ import annotations
@@ -26,12 +30,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY = "pseudonyms"
-ROUNDS = 8
+from colloquy.llm.shared import unused
+
+#: The key of the registered query and of tests; it is public, so data that matter need one of their own.
+PUBLIC_KEY = "pseudonyms"
+ROUNDS, MOST_STEPS = 8, 64
 
 # Forms of the kinds.
 _SECRET = r"(?i:(?<![a-z0-9])(?:token|secret(?:[_-]?key)?|password|passwd|api[_-]?key|access[_-]?key|private[_-]?key)\\?[\"']?[ ]{0,3}[=:][ ]{0,3}\\?[\"']?)(?=[A-Za-z0-9_+/.-]{15,}?[A-Za-z0-9_+/-])[A-Za-z0-9_+/-]++(?:\.++[A-Za-z0-9_+/-]++)*+"
-_EMAIL = r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}+"
+_EMAIL = r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}+\.){1,127}[A-Za-z]{2,63}+"
 _PHONE = r"(?:\+[0-9]{1,3}[ .-]?|(?<![0-9A-Za-z])(?<![0-9][.,/+-])00[1-9][0-9]{0,2}[ .-])(?=(?:[ .()-]{0,3}[0-9]){5})(?:\(0\)[ .-]?)?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
 _DATE = r"(?<![0-9./-])(?:(?:18|19|20|21)[0-9]{2}(?:-[01]?[0-9]-|/[01]?[0-9]/|\.[01]?[0-9]\.)[0-3]?[0-9]|[0-3]?[0-9](?:\.[01]?[0-9]\.|/[0-3]?[0-9]/|-[0-3]?[0-9]-)(?:18|19|20|21)[0-9]{2})(?![0-9])"
 _IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
@@ -42,6 +49,8 @@ _AREA = r"(?:1[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|(?:1[ .-])?(?:[0-
 _TRUNK = r"0[1-9](?:[ .-][0-9]{2}){4}|(?=(?:[0-9(][ ()/-]{0,2}){9,13}(?![0-9]))(?:\(0[1-9][0-9]{0,3}\)[ ]?|0[1-9][0-9]{0,3}[ /-])[0-9]{3,8}(?:[ -][0-9]{3,4}){0,2}"
 _NATIONAL = rf"(?<![0-9A-Za-z])(?<![0-9][.,/+-])(?:{_AREA}|{_TRUNK})(?![0-9A-Za-z]|[.,-][0-9])"
 CANDIDATE = "|".join([_SECRET, _EMAIL, _PHONE, _DATE, _IP, _SSN, _CARD, _IBAN, _NATIONAL])
+# Country calling codes of one and two digits; all others have three.
+_COUNTRY = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
 KINDS = ("email", "phone", "card", "ip", "ssn", "iban", "date", "secret")
 _LOWER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 _ALPHANUMERIC = (_DIGITS, _LOWER, _LOWER.upper())
@@ -69,16 +78,16 @@ def number(hexes: Column) -> Column:
 def shifted(text: Column, stream: Column, alphabets) -> Column:
     """Each character moved within its alphabet by its byte of the digest; others stay."""
 
-    def one(i: Column) -> Column:
-        c = F.substring(text, i, F.lit(1))
-        by = number(F.substring(stream, ((i - 1) % 64) * 2 + 1, F.lit(2))) + F.floor((i - 1) / 64) * 7
+    def one(c: Column, i: Column) -> Column:
+        by = number(F.substring(stream, (i % 64) * 2 + 1, F.lit(2))) + F.floor(i / 64) * 7
         out = c
         for a in alphabets:
             at = place(a, c)
             out = F.when(at > 0, F.substring(F.lit(a), ((at - 1 + by) % len(a) + 1).cast("int"), F.lit(1))).otherwise(out)
         return out
 
-    return F.when(F.length(text) == 0, F.lit("")).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), one), ""))
+    # an array of characters, so that long texts cost no more a character than short ones
+    return F.when(F.length(text) == 0, F.lit("")).otherwise(F.array_join(F.transform(F.split(text, ""), one), ""))
 
 
 def permuted(text: Column, key: str, alphabets=_ALPHANUMERIC) -> Column:
@@ -154,7 +163,8 @@ def pseudonym(m: Column, key: str) -> Column:
     host = F.regexp_extract(m, r"@(.*)\.[A-Za-z]+$", 1)
     email = F.concat(permuted(F.substring_index(m, "@", 1), key + ":name"), F.lit("@"), permuted(host, key + ":host"), F.lit("."), F.substring_index(m, ".", -1))
 
-    country = F.regexp_extract(m, r"^(?:(?:\+|00)[0-9]{1,3}(?=[ .(-])(?:[ .-]?\(0\))?|1(?=[ .(-])[ .-]?|\(?0)", 0)
+    # the same number has the same digits behind its country code or trunk 0, however it is written
+    country = F.regexp_extract(m, rf"^(?:(?:\+|00)(?:{_COUNTRY})(?:[ .-]?\(0\))?|1(?=[ .(-])[ .-]?|\(?0)", 0)
     rest = F.substring(m, F.length(country) + 1, F.length(m))
     phone = F.concat(country, refilled(rest, permuted(F.regexp_replace(rest, "[^0-9]", ""), key + ":phone", (_DIGITS,)), "0-9"))
 
@@ -184,7 +194,16 @@ def pseudonym(m: Column, key: str) -> Column:
     year_first = m.rlike("^[0-9]{4}")
     american = F.when(~year_first & (sep != "."), of("M-d-yyyy"))
     day = F.when(year_first, of("yyyy-M-d")).otherwise(F.coalesce(american, of("d-M-yyyy")))
-    new_day = F.date_add(F.lit("1800-01-01").cast("date"), permuted_number(F.datediff(day, F.lit("1800-01-01").cast("date")).cast("long"), 189, 773, key + ":date").cast("int"))
+    # what is written with a day above 12 first goes to such dates only, or two dates could be written alike
+    late = ~year_first & american.isNull() & (sep != ".")
+    since = F.lit("1800-01-01").cast("date")
+    start = F.struct(F.datediff(day, since).cast("long").alias("n"), F.lit(False).alias("done"))
+
+    def walk(s: Column, _: Column) -> Column:
+        ends = lambda n: ~late | (F.dayofmonth(F.date_add(since, n.cast("int"))) > 12)
+        return F.when(s["done"], s).otherwise(let(permuted_number(s["n"], 189, 773, key + ":date"), lambda n: F.struct(n.alias("n"), ends(n).alias("done"))))
+
+    new_day = F.date_add(since, F.aggregate(F.sequence(F.lit(1), F.lit(MOST_STEPS)), start, walk, lambda s: F.when(s["done"], s["n"]).otherwise(F.datediff(day, since))).cast("int"))
 
     def dated(d: Column) -> Column:
         two = lambda x: F.when(short, x.cast("string")).otherwise(F.lpad(x.cast("string"), 2, "0"))
@@ -206,24 +225,20 @@ def pseudonym(m: Column, key: str) -> Column:
     )
 
 
-def n_of(kind: str) -> Column:
-    return F.size(F.filter("_found", lambda x: x["kind"] == kind)).cast("long")
-
-
-def pseudonymised(docs: DataFrame, text: str = "text", key: str = KEY, counts: bool = False) -> DataFrame:
-    """Replace `text`; on request add n_<kind> for each kind."""
-    t = F.col(text)
+def pseudonymised(docs: DataFrame, key: str, text: str = "text", counts: bool = False) -> DataFrame:
+    """Replace `text`; on request add n_<kind> for each kind, in place of columns of that name."""
+    t, at = F.col(text), unused(docs, "found")
     empty = "array<struct<kind:string,value:string>>"
     found = F.when(t.rlike(CANDIDATE), F.transform(F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0)), lambda m: pseudonym(m, key))).otherwise(F.array().cast(empty))
-    docs = docs.withColumn("_found", found)
+    docs = docs.withColumn(at, found)
     gaps = F.split(t, CANDIDATE)
-    woven = F.array_join(F.zip_with(gaps, F.transform(F.col("_found"), lambda x: x["value"]), lambda g, v: F.concat(g, F.coalesce(v, F.lit("")))), "")
-    docs = docs.withColumn(text, F.when(F.size("_found") > 0, woven).otherwise(t))
+    woven = F.array_join(F.zip_with(gaps, F.transform(F.col(at), lambda x: x["value"]), lambda g, v: F.concat(g, F.coalesce(v, F.lit("")))), "")
+    docs = docs.withColumn(text, F.when(F.size(at) > 0, woven).otherwise(t))
     if counts:
-        docs = docs.withColumns({f"n_{k}": n_of(k) for k in KINDS})
-    return docs.drop("_found")
+        docs = docs.withColumns({f"n_{k}": F.size(F.filter(at, lambda x, k=k: x["kind"] == k)).cast("long") for k in KINDS})
+    return docs.drop(at)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return pseudonymised(docs, counts=True)
+    return pseudonymised(docs, PUBLIC_KEY, counts=True)
