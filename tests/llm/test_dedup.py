@@ -66,6 +66,15 @@ def test_near_group_of_many_edits(spark):
     assert {r.doc_id: r.class_id for r in bagminhash.near_classes(df).collect()} == classes(rows)
 
 
+def test_links_are_exact(docs):
+    by = {r.doc_id: r.text for r in docs.collect()}
+    classes, links = bagminhash.classes_and_links(docs)
+    got = links.collect()
+    assert got and all(r.common == sum((bag(by[r.a]) & bag(by[r.b])).values()) and r.either == sum((bag(by[r.a]) | bag(by[r.b])).values()) and 5 * r.common >= 4 * r.either for r in got)
+    joined = bagminhash.near_classes(docs).where("linked_to is not null").collect()
+    assert {r.copy_of for r in joined} == {x for r in got for x in (r.a, r.b)} and all(0.8 <= r.similarity <= 1 for r in joined)
+
+
 def test_near_odd_rows(odd, empty):
     got = {r.doc_id: r.class_id for r in bagminhash.near_classes(odd).collect()}
     assert got == {1: 1, 2: 2, 3: 2, 4: 4, 5: 5, 6: 6, 7: 1}
@@ -117,6 +126,13 @@ def test_doubling(docs, length):
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == windows_removed(rows, length)
 
 
+def test_doubling_goes_on_until_no_window_survives(spark):
+    w = [f"w{i}" for i in range(900)]
+    rows = [(1, " ".join(w)), (2, " ".join(["x", *w[100:500], "y"])), (3, " ".join(w[:49])), (4, " ".join(w[300:360])), (5, " ".join(w)), (6, "w w " * 40)]
+    got = {r.doc_id: (r.n_removed, r.longest) for r in doubling.removed(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (0, 0), 2: (400, 400), 3: (0, 0), 4: (60, 50), 5: (900, 800), 6: (0, 0)}
+
+
 def test_doubling_odd_rows(odd, empty):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = doubling.removed(odd, 4, text_out=True).collect()

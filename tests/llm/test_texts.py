@@ -61,6 +61,19 @@ def test_unigram_scores_and_byte_fallback():
     assert [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:])] == ref.encode(texts) and same.all() and back == texts
 
 
+@pytest.mark.parametrize("kind", [1, 2])
+def test_user_defined_symbols(kind):
+    import sentencepiece
+
+    made = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{i:02X}>", 0.0, 6) for i in range(256)]
+    made += [("▁", -3.0, 1), ("a", -2.0, 1), ("b", -2.5, 1), ("ab", -1.2, 1), ("▁ab", -1.1, 1), ("<x>", 0.0, 4), ("<x>y", 0.0, 4)]
+    buf = b"".join(field(1, field(1, p.encode()) + field(2, s) + field(3, k)) for p, s, k in made)
+    buf += field(2, field(3, kind) + field(35, 1)) + field(3, field(3, 1) + field(4, 0) + field(5, 1))
+    ref, texts = sentencepiece.SentencePieceProcessor(model_proto=buf), ["ab <x>a", "<x>", "a<x>yab <x", "", "<x><x>y <x> ab"]
+    at, ids, same, back = pieces.Encoder(buf, True).encode(texts)
+    assert [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:])] == ref.encode(texts) and same.all() and back == texts
+
+
 def test_tokens_of_odd_rows(odd, empty):
     got = pieces.digest(odd).collect()
     assert len(got) == 9 and all(r.parity and r.round_trip for r in got)
@@ -114,9 +127,9 @@ def luhn(d):
     return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
 
 
-def replaced(spark, texts, **how):
+def replaced(spark, texts, key=pii.PUBLIC_KEY):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
-    return [r.text for r in pii.pseudonymised(df, **how).orderBy("i").collect()]
+    return [r.text for r in pii.pseudonymised(df, key).orderBy("i").collect()]
 
 
 def test_pseudonyms_keep_their_format(spark):
@@ -142,9 +155,22 @@ def test_permutations_are_one_to_one(spark):
 
 
 def test_pseudonyms_of_odd_rows(odd, empty):
-    got = {(r.doc_id, r.text) for r in pii.pseudonymised(odd, counts=True).collect()}
+    got = {(r.doc_id, r.text) for r in pii.pseudonymised(odd.withColumn("found", F.lit(1)), pii.PUBLIC_KEY, counts=True).where("found = 1").collect()}
     assert got == {(r.doc_id, r.text) for r in odd.collect()}
-    assert pii.pseudonymised(empty).count() == 0
+    assert pii.pseudonymised(empty, pii.PUBLIC_KEY).count() == 0
+
+
+def test_dates_are_one_to_one(spark):
+    days = spark.sql("SELECT explode(sequence(date'1990-01-01', date'2009-12-31')) AS d")
+    texts = days.selectExpr("explode(array(date_format(d, 'MM/dd/yyyy'), date_format(d, 'dd/MM/yyyy'))) AS text").distinct()
+    got = pii.pseudonymised(texts, "k")
+    assert got.where(r"text RLIKE '^[0-9]{2}/[0-9]{2}/[0-9]{4}$'").distinct().count() == texts.count()
+
+
+def test_phones_are_linked(spark):
+    got = replaced(spark, ["+15550171234", "+1 555 017 1234", "+1 (555) 017-1234", "0015550171234", "001 555 017 1234", "+33612345678", "06 12 34 56 78"])
+    digits = [re.sub(r"\D", "", x) for x in got]
+    assert all(x.startswith("1") for x in digits[:3]) and len({x[-10:] for x in (*digits[:3], digits[4])}) == 1 and digits[5][2:] == digits[6][1:] and got[3] == "0015550171234"
 
 
 def test_more_forms_of_personal_data(spark):
@@ -212,12 +238,48 @@ def test_ogg_checksum_and_damage():
         ogg.read(media[:-10])
 
 
+def test_ogg_chains_foreign_streams_and_damage():
+    a, b = ogg.pad(b"first" * 20_000), ogg.pad(b"second" * 9_000)
+    other = ogg.Stream(7)
+    other.page(b"whatever", ogg.lacing(8), 0, 2)
+    other.packets([b"x" * 255 * 300, b"", b"y" * 510], [300, 301, 302], True)
+    chain = ogg.mux(a, b"n") + b"".join(other.pages) + ogg.mux(b)
+    found = ogg.demux(chain)
+    assert [s["link"] for s in found] == [0, 0, 1, 2, 2] and found[2]["packets"] == [b"whatever", b"x" * 255 * 300, b"", b"y" * 510]
+    assert b"".join(found[0]["packets"][1:]) == a and b"".join(found[3]["packets"][1:]) == b
+    with pytest.raises(ogg.OggError):
+        ogg.read(chain)
+    mixed = b"".join(other.pages[:1]) + ogg.mux(a, b"n") + b"".join(other.pages[1:])
+    assert ogg.read(mixed)["payload"] == a and ogg.read(mixed)["notes"] == b"n"
+    # a page is lost: the packets that lie in others wholly are still there, with their times
+    media = ogg.mux(a)
+    at = [i for i in range(len(media)) if media[i : i + 4] == b"OggS"]
+    hurt = media[: at[3] + 40] + b"\0\0\0" + media[at[3] + 43 :]
+    with pytest.raises(ogg.OggError):
+        ogg.read(hurt)
+    got = ogg.read(b"junk" + hurt, strict=False)
+    assert 0 < len(a) - len(got["payload"]) <= 2 * 255 * 255 and got["times"][-1] == len(a) / ogg.RATE
+    whole = ogg.demux(media)[0]["packets"]
+    assert all(p in set(whole) for s in ogg.demux(hurt, False) if s["serial"] == ogg.AUDIO for p in s["packets"])
+
+
+def test_media_columns(spark, odd):
+    files = ogg.store(odd.select("doc_id", "text"))
+    got = ogg.read_media(files).collect()
+    text = {r.doc_id: (r.text or "").encode() for r in odd.collect()}
+    assert all(r.read.payload == ogg.pad(text[r.doc_id]) and r.read.seconds == len(r.read.payload) / ogg.RATE for r in got)
+    cut = files.withColumn("media", F.expr("substring(media, 1, length(media) - 9)"))
+    assert ogg.read_media(cut).where("read is not null").count() == 0
+    n = ogg.packets(files.where("doc_id = 4"), "doc_id").orderBy("serial", "n").collect()
+    assert [(r.serial, r.n) for r in n] == [(ogg.AUDIO, 0), (ogg.AUDIO, 1), (ogg.NOTES, 0), (ogg.NOTES, 1)] and n[1].packet == ogg.pad(b" \t\n ") and n[1].granule == 576
+
+
 def test_media_of_odd_rows(odd, empty):
     rows = {r.doc_id: r for r in ogg.digest(odd).collect()}
     text = {r.doc_id: (r.text or "").encode() for r in odd.collect()}
     for i, r in rows.items():
         p = ogg.pad(text[i])
-        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(text[i]), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-576:]))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(text[i]), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]))
     assert ogg.digest(empty).count() == 0 and ogg.store(odd).where("media is null").count() == 0
 
 
@@ -258,6 +320,129 @@ def test_pages_whose_markup_misleads():
     assert html.extract("<body><div>Words around a short article, more than it has.</div><article><p>A short article of few words.</p></article>") == "A short article of few words."
 
 
+def plain_extract(page):
+    """The same by chains of ancestors: every sum is taken anew over all lines."""
+    from html.parser import HTMLParser
+
+    lines, chain, parts = [], [], []
+
+    class P(HTMLParser):
+        def flush(self):
+            if t := " ".join("".join(x for x, _ in parts).split()):
+                lines.append((t, sum(len(x.strip()) for x, a in parts if a), [e for e in chain if e[0] not in html.INLINE]))
+            parts.clear()
+
+        def handle_starttag(self, tag, attrs):
+            if tag not in html.INLINE:
+                self.flush()
+            if tag not in html.VOID:
+                kind, marked = html.kind_of(tag, "".join(f' {k}="{v}"' for k, v in attrs), any(e[3] for e in chain))
+                chain.append((tag, len(elements), kind, marked))
+                elements.append(chain[-1])
+
+        def handle_endtag(self, tag):
+            if tag not in html.INLINE:
+                self.flush()
+            chain.pop()
+
+        def handle_data(self, data):
+            parts.append((data, any(e[0] == "a" for e in chain)))
+
+    elements = []
+    p = P()
+    p.feed(page)
+    p.close()
+    p.flush()
+    size = lambda e: sum(len(t) for t, _, c in lines if e in c)
+    marked = [e for e in elements if e[3]]
+    free = [e for e in marked if not any(x[2] for _, _, c in lines if e in c for x in c[: c.index(e)])]
+    main = max(free or marked, key=lambda e: (size(e), -e[1]), default=None)
+    for kinds in ((1, 2, 3), (2, 3), (3,), ()):
+        called = {e for e in elements if e[2] in kinds}
+        called -= {x for _, _, c in lines if main in c for x in c[: c.index(main) + 1]}
+        while True:
+            bare = lambda top: sum(len(t) for t, _, c in lines if (top is None or top in c) and not called & set(c[0 if top is None else c.index(top) + 1 :]))  # noqa: E731, B023
+            new = set()
+            for _, _, c in lines:
+                e = next((x for x in c if x in called), None)
+                if e is None or e[2] == 3 or 2 * sum(a for _, a, d in lines if e in d) > size(e):
+                    continue
+                inside = main is not None and main in c[: c.index(e)]
+                if main is None or inside or not bare(main):
+                    wide = size(e) > html.WRAPPER * bare(main if inside else None)
+                else:
+                    wide = e[2] == 1 and size(e) > html.WRAPPER * max(html.SURGE, bare(None))
+                new |= {e} if wide else set()
+            if not new:
+                break
+            new = {e for e in new if html.WRAPPER * size(e) > max(map(size, new))}
+            new |= {x for _, _, c in lines for e in new & set(c) for x in c[c.index(e) :] if x in called and x[2] != 3 and size(x) == size(e)}
+            called -= new
+        aside = [bool(called & set(c)) for _, _, c in lines]
+        if not all(aside):
+            break
+    found = []
+    for side in (0, 1):
+        own = [k for k, (_, _, c) in enumerate(lines) if any(e[3] for e in c) == bool(side) and not (side and aside[k])]
+        w = [0 if not side and (aside[k] or 2 * lines[k][1] > len(lines[k][0])) else len(lines[k][0]) for k in own]
+        sums = [sum(w[k : k + html.WINDOW]) for k in range(len(w))]
+        at = 0
+        while at < len(w):
+            stop = at
+            while stop < len(w) and sums[stop]:
+                stop += 1
+            if stop > at:
+                found.append((side, [own[k] for k in range(at, stop) if w[k]], max(sums[at:stop]), sum(w) * (html.MARKED if side else 1)))
+            at = stop + 1
+    whole = sum({side: m for side, _, _, m in found}.values())
+    found = [(side, run, high * m / whole) for side, run, high, m in found]
+    kept = [r for r in found if r[2] >= html.SURGE] or sorted(found, key=lambda r: -r[2] * (html.MARKED if r[0] else 1))[:1]
+    box = lambda k: (lines[k][2][-2] if len(lines[k][2]) > 1 else "top") if lines[k][2] and lines[k][2][-1][0] in html.TEXT_TAGS else None
+    boxes = {(side, box(k)) for side, run, _ in kept for k in run}
+    out = [k for r in found for k in r[1] if r in kept or box(k) and (r[0], box(k)) in boxes]
+    return " ".join(lines[k][0] for k in sorted(out))
+
+
+def test_pages_against_plain_extraction():
+    r = random.Random(5)
+    names = ["", "", "", " class='sidebar'", " class='has-sidebar'", " class='sidebar-layout'", " id='comments'", " class='ad'", " class='entry-header'", " role='navigation'"]
+
+    def words(most):
+        return " ".join(r.choice(["word", "text", "longer", "of"]) for _ in range(r.randint(1, most)))
+
+    def part(depth):
+        if depth == 0 or r.random() < 0.3:
+            return r.choice(["<p>{}</p>", "<p>{}</p>", "<h2>{}</h2>", "<div>{}</div>", "<p><a href='/x'>{}</a></p>"]).format(words(r.choice([3, 30, 60])))
+        tag = r.choice(["div", "div", "section", "article", "nav", "form", "aside", "footer", "header"])
+        return f"<{tag}{r.choice(names)}>" + "".join(part(depth - 1) for _ in range(r.randint(1, 4))) + f"</{tag}>"
+
+    for _ in range(400):
+        page = "<html><body>" + "".join(part(3) for _ in range(r.randint(1, 4))) + "</body></html>"
+        assert html.extract(page) == plain_extract(page), page
+
+
+def test_pages_told_by_density():
+    long = "Sentence with enough words to count. " * 4
+    text = long.strip()
+    assert html.extract(f'<div class="layout no-sidebar"><p>{long}</p></div>') == text
+    assert html.extract(f'<div id=page class="has-sidebar"><article><p>{long}</p></article></div>') == text
+    assert html.extract(f'<article><div class="entry-header"><h1>Title</h1></div><p>{long}</p></article>') == f"Title {text}"
+    assert html.extract(f'<div id=page><div class="entry-header"><h1>Title</h1></div><p>{long}</p></div>') == f"Title {text}"
+    assert html.extract(f"<form><div><p>{long}</p><p>{long}</p></div></form>") == f"{text} {text}"
+    page = f"<div class=content><p>{long}</p><div class=ad><p>{long}</p><p>a</p><p>b</p><p>c</p></div><p>The end.</p></div><footer>{long}</footer>"
+    assert html.extract(page) == f"{text} The end."
+    assert html.extract(f"<div><p>{long}</p></div><div id=comments>{f'<p>{long}</p>' * 20}</div>") == text
+    for odd in ("<div>" * 50_000 + "x", "<div class=ad>" * 5_000 + long, "<b>" * 20_000 + "<p>a b</p>" * 2_000, "</p>" * 50_000, "<" * 100_000, "&" * 100_000):
+        html.extract(odd)
+
+
+def test_pages_of_odd_rows(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, "", "a"), (None, "<p>x</p>", None)], "page_id long, html string, text string").withColumn("n", F.lit(1))
+    got = html.main_text(df)
+    assert got.columns == ["page_id", "html", "n", "text"] and sorted(r.text for r in got.collect()) == ["", "", "x"]
+    assert html.main_text(df.where("n = 2")).count() == 0
+
+
 # --- mixing
 def test_mix_is_that_of_sql(spark, sf):
     got = catalog.QUERIES["op9_pareto_mix"](spark, sf).toPandas()
@@ -310,6 +495,51 @@ def test_marginals_against_all_labellings():
     assert np.allclose(good, np.concatenate([w[0] for w in want])) and np.isclose(z, sum(w[1] for w in want)) and np.isclose(pairs.sum(), sum(sizes) - len(sizes))
 
 
+def test_blocks_are_the_whole_chain():
+    rng = np.random.default_rng(8)
+    bound = np.concatenate([[0], np.cumsum([1, 70, 3, 200, 32, 33])])
+    scores, table = rng.normal(size=bound[-1]) * 2, rng.normal(size=(2, 2))
+    a, b = crf.marginals(scores, bound, table, 7), crf.marginals(scores, bound, table, 1000)
+    assert np.allclose(a[0], b[0]) and np.allclose(a[1], b[1]) and np.isclose(a[2], b[2])
+
+
+def plain_features(text):
+    """The features of each line, one by one, with sizes in bytes."""
+    import math
+    from collections import Counter
+
+    lines = [x.encode() for x in text.split("\n")]
+    ws = [re.findall(rb"[^\x20\x09-\x0d]+", x) for x in lines]
+    flat = [w for line in ws for w in line]
+    owner = [i for i, line in enumerate(ws) for _ in line]
+    tri, same = Counter(zip(flat, flat[1:], flat[2:])), Counter(lines)
+    out = []
+    for i, (x, line) in enumerate(zip(lines, ws)):
+        own = [k for k, o in enumerate(owner) if o == i]
+        chars, some = max(len(x), 1), max(len(line), 1)
+        share = lambda among: sum(c in among for c in x) / chars  # noqa: E731, B023
+        out.append([
+            math.log1p(len(x)), math.log1p(len(line)), len(x) / some / 10, share(range(65, 91)), share(range(48, 58)), share(b"#$%&*<>{}[]\\~^_=+@/`"), share(b"!"), share(b"|"),
+            sum(k > 0 and flat[k] == flat[k - 1] for k in own) / some, sum(k + 2 < len(flat) and tri[tuple(flat[k : k + 3])] > 1 for k in own) / some, float(same[x] > 1 and len(x) > 0),
+            sum(flat.index(flat[k]) == k for k in own) / some, float(x[-1:] in (b".", b"!", b"?")), share(range(128, 256)), share(b".,;:'\"?()-"), float(not line),
+        ])
+    near = [3, 5, 6, 7, 8, 9, 10, 11]
+    return [f + ([out[i - 1][k] if i else 0 for k in near]) + ([out[i + 1][k] if i + 1 < len(out) else 0 for k in near]) + [float(not i), float(i + 1 == len(out))] for i, f in enumerate(out)], [len(x) for x in lines]
+
+
+def test_scores_against_all_labellings(spark, docs):
+    """What the operator gives is what plain features and a sum over all labellings of a text's lines give."""
+    sizes = [(i, i % 2, 0) for i in range(200)]
+    model = crf.fit(crf.sample(docs, spark.createDataFrame(sizes, "doc_id long, quality int, toxic int")))
+    texts = [r.text for r in docs.collect() if r.text is not None and r.text.count("\n") < 9][:40] + ["", "a\n\nb b b b\n", "x | y !\nx | y !", "é"]
+    got = crf.scored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model)
+    for r in got.collect():
+        f, size = plain_features(texts[r.doc_id])
+        good, _ = brute(((np.array(f) - model.mean) / model.std) @ model.w[:-1] + model.w[-1], model.table)
+        mean = (good * (np.array(size) + 1e-9)).sum() / (np.array(size) + 1e-9).sum()
+        assert abs(r.score - 1 / (1 + np.exp(-(model.slope * mean + model.shift)))) < 1e-5, texts[r.doc_id]
+
+
 def test_held_out_accuracy(spark, sf):
     got = catalog.QUERIES["op10_line_crf"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out")
     assert got.count() > 5 and got.where("predicted = quality").count() >= 0.9 * got.count()
