@@ -26,8 +26,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Put pseudonyms for personal data and secrets; n_chars follows the text."""
-    return pii.pseudonymised(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+    """Put pseudonyms for personal data and secrets; n_chars follows the text.
+
+    The key is the session's setting spark.colloquy.pseudonym.key; without it, the public one of tests.
+    """
+    key = spark.conf.get("spark.colloquy.pseudonym.key", pii.PUBLIC_KEY)
+    return pii.pseudonymised(docs, key).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
