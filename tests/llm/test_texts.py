@@ -453,12 +453,21 @@ def test_mix_of_skewed_sources(spark):
     rows = [(i, "w " * (1 + i % 40), "hot" if i % 3 else f"s{i % 9}", 1) for i in range(3000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang int")
     sized = mixing.sized_docs(df).select("doc_id", "source", "sk", "size", "propensity")
+    sized = sized.withColumn("doc_id", F.col("doc_id").cast("long"))
     got = mixing.decided(sized, mixing.figures(sized)).withColumn("taken", F.col("size") * F.col("n_copies"))
     by = got.groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("g"), F.max(F.col("taken") - 2 * F.col("size")).alias("over")).collect()
     assert all(abs(r.t - r.g) <= 40 and r.over <= 0 for r in by)
     assert abs(sum(r.g for r in by) - 1.5 * sum(len(t.split()) for _, t, _, _ in rows)) < 1e-6
 
 
+def test_mix_comes_near_its_targets(spark, sf):
+    """Sources of a hundred documents within a hundredth, those of ten within half a document."""
+    for at, share in ((sf, 1.0), (sf.replace("0.001", "0.01"), 0.01)):
+        got = catalog.QUERIES["op9_pareto_mix"](spark, at).groupBy("source")
+        got = got.agg(F.sum("taken").alias("t"), F.first("target").alias("g"), F.max("size").alias("most"), F.max(F.col("taken") - 2 * F.col("size")).alias("over")).collect()
+        assert got and all(r.over <= 0 and abs(r.t - r.g) <= min(share * r.g, r.most / 2) for r in got), got
+
+
 def test_mix_prefers_by_propensity(spark):
     df = spark.createDataFrame([(i, "w w w", "ab"[i % 2], "en") for i in range(2000)], "doc_id long, text string, source string, lang string")
     got = mixing.mix(df, weights=(1, 1), share=0.5, propensity=F.when(F.col("doc_id") % 4 < 2, 3.0).otherwise(1.0))
