@@ -41,7 +41,7 @@ def prepared(docs: DataFrame) -> DataFrame:
 
 def copies(docs: DataFrame) -> DataFrame:
     """(doc_id, name, first) of texts that are there more than once: the smallest doc_id with the same text."""
-    names = docs.select("doc_id", F.sha2("text", 256).alias("name"))
+    names = docs.select("doc_id", F.substring(F.unhex(F.sha2("text", 256)), 1, 16).alias("name"))
     again = names.groupBy("name").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("name", "first")
     return names.join(written(again, "repeat-texts"), "name").distinct()
 
@@ -82,19 +82,12 @@ def places(bound: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return first, owner[first]
 
 
-AT = pa.list_(pa.int32())
-WINDOWS = "h long, g long, doc_id long, at array<int>"
-
-
-def grouped(key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """The first item of each key, and the places of each."""
-    order = np.argsort(key, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])) if len(key) else np.zeros(0, np.int64)
-    return order[first], pa.ListArray.from_arrays(pa.array(np.append(first, len(key)), pa.int32()), pa.array(place[order], pa.int32()))
+WINDOWS = "h long, g long, doc_id long, pos int"
+_COLUMNS = [x.split()[0] for x in WINDOWS.split(", ")]
 
 
 def candidates(docs: DataFrame, length: int) -> DataFrame:
-    """(h, g, doc_id, at): two hashes of each full window whose half-length window survived (`known`), once a text with its places."""
+    """(h, g, doc_id, pos): two hashes of each full window whose own half-length window survived (`known`)."""
     half = length // 2
 
     def work(batches):
@@ -106,47 +99,42 @@ def candidates(docs: DataFrame, length: int) -> DataFrame:
                 w = words.Words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
                 h = w.hashes()
                 at, x = words.windows(h, w.bound, half)
-                owner = words.owners(w.bound)
-                ok = words.members(x, owner[at], known[known_offs[i] : known_offs[j]], known_offs[i : j + 1] - known_offs[i])
-                alive = np.concatenate([[0], np.cumsum(np.bincount(at[ok], minlength=len(h)))])
+                grid = np.zeros(len(h), np.uint64)
+                grid[at] = x
                 first, text = places(w.bound, length)
-                near = alive[first + length - half + 1] > alive[first]
+                own = grid[words.chosen(grid, first, length - half + 1)] if len(first) else np.zeros(0, np.uint64)
+                near = words.members(own, text, known[known_offs[i] : known_offs[j]], known_offs[i : j + 1] - known_offs[i])
                 first, text = first[near], text[near]
                 both = [full[np.searchsorted(pos, first)] if len(first) else np.zeros(0, np.uint64) for pos, full in (words.windows(h, w.bound, length, s) for s in (0, 1))]
-                once, at = grouped(words.mix(both[0] ^ words.mix(text.astype(np.uint64))), first - w.bound[text])
-                yield pa.RecordBatch.from_arrays([*(pa.array(x[once].view(np.int64)) for x in both), pa.array(ids[i + text[once]]), at], ["h", "g", "doc_id", "at"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in both), pa.array(ids[i + text]), pa.array(first - w.bound[text], pa.int32())], _COLUMNS)
 
     return docs.mapInArrow(work, WINDOWS)
 
 
 def doubled(alive: DataFrame, length: int) -> DataFrame:
-    """(h, g, doc_id, at): windows of twice `length` words whose halves are both in `windows` (h, g, at, later)."""
+    """(h, g, doc_id, pos): windows of twice `length` words whose halves are both in `windows` (h, g, pos, later)."""
 
     def work(batches):
         for b in batches:
             for i in range(b.num_rows):
                 own = b.column("windows")[i].values
-                at = own.field("at")
-                pos = at.flatten().to_numpy()
+                pos = own.field("pos").to_numpy().astype(np.int64)
                 order = np.argsort(pos)
-                times = np.diff(at.offsets.to_numpy())
-                names = [np.repeat(own.field(c).to_numpy().view(np.uint64), times)[order] for c in ("h", "g")]
-                pos = pos[order]
+                pos, names = pos[order], [own.field(c).to_numpy().view(np.uint64)[order] for c in ("h", "g")]
                 half = np.minimum(np.searchsorted(pos, pos + length), max(len(pos) - 1, 0))
                 both = np.flatnonzero(pos[half] == pos + length)
-                names = [words.mix(words.mix(x[both]) * words.BASES[0] + x[half[both]]) for x in names]
-                once, at = grouped(names[0], pos[both])
-                if len(once):
-                    yield pa.RecordBatch.from_arrays([*(pa.array(x[once].view(np.int64)) for x in names), pa.array([b.column("doc_id")[i].as_py()] * len(once), pa.int64()), at], ["h", "g", "doc_id", "at"])
+                if len(both):
+                    names = [words.mix(words.mix(x[both]) * words.BASES[0] + x[half[both]]) for x in names]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in names), pa.array(np.full(len(both), b.column("doc_id")[i].as_py())), pa.array(pos[both], pa.int32())], _COLUMNS)
 
     return alive.select("doc_id", "windows").mapInArrow(work, WINDOWS)
 
 
 def survivors(windows: DataFrame, tag: str) -> DataFrame:
-    """(doc_id, windows): each document's windows (h, g, at, later) that another document has too; later: one before it."""
+    """(doc_id, windows): each document's windows (h, g, pos, later) that another document has too; later: one before it."""
     windows = written(windows, f"{tag}-windows")
     again = written(windows.groupBy("h", "g").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("h", "g", "x"), f"{tag}-again")
-    both = windows.join(again, ["h", "g"]).select("doc_id", F.struct("h", "g", "at", (F.col("x") < F.col("doc_id")).alias("later")).alias("w"))
+    both = windows.join(again, ["h", "g"]).select("doc_id", F.struct("h", "g", "pos", (F.col("x") < F.col("doc_id")).alias("later")).alias("w"))
     return written(both.groupBy("doc_id").agg(F.collect_list("w").alias("windows")), f"{tag}-alive")
 
 
@@ -215,7 +203,7 @@ def removed(docs: DataFrame, length: int = LENGTH, text_out: bool = False) -> Da
                     a, z = w.bound[k], w.bound[k + 1]
                     text = part[w.offs[k] : w.offs[k + 1]].tobytes()
                     level = longest[i + k] or 0
-                    if whole[i + k] and z - a >= length and hashlib.sha256(text).hexdigest() in whole[i + k]:
+                    if whole[i + k] and z - a >= length and hashlib.sha256(text).digest()[:16] in whole[i + k]:
                         gone[a:z] = True
                         level = length << int((z - a) // length).bit_length() - 1
                     elif not gone[a:z].any():

@@ -123,7 +123,12 @@ def windows(h: np.ndarray, bound: np.ndarray, k: int, seed: int = 0) -> tuple[np
 
 
 def minimizers(h: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
-    """The positions that hold the leftmost smallest of `width` neighbouring hashes, for runs that start at `first`.
+    """The positions that hold the leftmost smallest of `width` neighbouring hashes, for runs that start at `first`."""
+    return np.unique(chosen(h, first, width))
+
+
+def chosen(h: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
+    """The position of the leftmost smallest of `width` neighbouring hashes, for each run that starts at `first`.
 
     Hashes count by their upper half, so that equal runs choose the same place wherever they are.
     """
@@ -137,8 +142,7 @@ def minimizers(h: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
         done *= 2
     if done < width:
         x = np.minimum(x[: len(h) - width + 1], x[width - done :][: len(h) - width + 1])
-    picked = (x[first] & low).astype(np.int64)
-    return np.unique(picked)
+    return (x[first] & low).astype(np.int64)
 
 
 def owners(bound: np.ndarray) -> np.ndarray:
