@@ -16,7 +16,8 @@ Triggers with over `HOT` places, which would fill a task's memory, go another wa
 their 200-byte strings are counted in the JVM, partly before the shuffle.
 
 Texts that are equal take part once; if they have 200 bytes all their bytes are repeated. Defined results: null text is
-empty text; shorter texts keep everything; two equal rows are two documents; ids take no part in the decision.
+empty text; shorter texts keep everything; two equal rows are two documents; ids take no part in the decision, nor do
+columns but text, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -199,7 +200,7 @@ def counted(docs: DataFrame, length: int, trigger: int) -> DataFrame:
 
     strings = docs.select("text", "tid", "n", "hot").mapInArrow(work, "g long, k long, tid long, n long, start long")
     strings = written(strings, "parse-hot")
-    again = strings.groupBy("g", "k").count().where("count > 1").select("g", "k")
+    again = written(strings.groupBy("g", "k").count().where("count > 1").select("g", "k"), "parse-again")
     return strings.join(again, ["g", "k"]).select("tid", "n", "start", (F.col("start") + length).alias("stop"))
 
 
@@ -209,7 +210,7 @@ def removed(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, hot:
     place = F.xxhash64("tid", "pos")  # tells places apart; a long, so that sums need no sort
     places = parse(docs, length, trigger)
     # sums first, then a join that can be split: one trigger may have a third of all places
-    often = places.groupBy("h").agg(F.min(place).alias("x"), F.max(place).alias("y"), F.sum("times").alias("places")).where("x <> y").select("h", "places")
+    often = written(places.groupBy("h").agg(F.min(place).alias("x"), F.max(place).alias("y"), F.sum("times").alias("places")).where("x <> y").select("h", "places"), "parse-often")
     level = places.select("h", "tid").join(often, "h")
     lists = level.groupBy("tid").agg(F.collect_set(F.when(F.col("places") <= hot, F.col("h"))).alias("known"), F.collect_set(F.when(F.col("places") > hot, F.col("h"))).alias("hot"))
     alive = written(lists, "parse-alive")
