@@ -164,7 +164,6 @@ def test_parsing(docs, length, trigger, hot):
 
 
 def test_parsing_odd_rows(odd, empty):
-    odd = odd.where("doc_id is null or doc_id <> 5")
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = parsing.removed(odd, 10, 7, text_out=True).collect()
     assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == bytes_removed(rows, 10)
