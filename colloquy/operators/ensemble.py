@@ -2,33 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions.fixed import CHUNK_WORDS, MODEL_ORDER
 from colloquy.functions.text import normalized, words
-from colloquy.operators import chunks, diffs, lcs, loops, structure
+from colloquy.operators import chunks, diffs, lcs, loops
+
+
+def model_rank(model: Column) -> Column:
+    """struct(place in the fixed order, name): models that aren't in it come last, by name."""
+    order = F.array(*[F.lit(m) for m in MODEL_ORDER])
+    return F.struct(F.coalesce(F.nullif(F.array_position(order, model), F.lit(0).cast("long")), F.lit(1 << 20).cast("long")).alias("r"), model.alias("m"))
 
 
 def base_model(models: Column) -> Column:
     """The best of an array of models by the fixed order; models that aren't in it come last, by name."""
-    order = F.array(*[F.lit(m) for m in MODEL_ORDER])
-    rank = lambda m: F.coalesce(F.nullif(F.array_position(order, m), F.lit(0).cast("long")), F.lit(1 << 20).cast("long"))
-    return F.array_min(F.transform(models, lambda m: F.struct(rank(m).alias("r"), m.alias("m"))))["m"]
+    return F.array_min(F.transform(models, model_rank))["m"]
 
 
-def resolve(texts: DataFrame, key: str, model: str = "model", text: str = "text", choose=diffs.plurality) -> DataFrame:
+def resolve(texts: DataFrame, key: str, model: str = "model", text: str = "text", choose=diffs.plurality, resolver=None) -> DataFrame:
     """(key, base, n_models, n_diffs, n_clusters, text): loops collapsed, differences of each model from the best one
-    found, trivial ones left out, pivoted, clustered, chosen by `choose`, and applied to the base."""
+    found, trivial ones left out, pivoted, clustered, chosen by `choose`, and applied to the base. A `resolver` instead
+    adds `choices` to clusters (key, cluster, b, d), with d an array of struct(b_pos, b_len, readings)."""
     plain = loops.with_loops(texts.select(key, F.col(model).alias("model"), F.col(text).alias("text")), "text").select(key, "model", words(F.col("collapsed")).alias("ws"))
     bases = plain.groupBy(key).agg(base_model(F.collect_set("model")).alias("base"), F.count("*").alias("n_models"))
     plain = plain.join(bases, key)
     base = plain.where("model = base").select(key, "base", "n_models", F.col("ws").alias("b"))
     pairs = plain.where("model <> base").select(key, "model", F.col("ws").alias("a")).join(base.select(key, "b"), key).withColumn("an", normalized(F.col("a"))).withColumn("bn", normalized(F.col("b")))
     found = diffs.positioned(pairs, [key, "model"], "a", "b", "an", "bn").where(~diffs.is_trivial(F.col("a_text"), F.col("b_text")))
-    models = plain.select(key, "model", F.hash("model").alias("model_ord"), "base")
+    models = plain.select(key, "model", F.row_number().over(Window.partitionBy(key).orderBy(model_rank(F.col("model")))).alias("model_ord"), "base")
     pivot = diffs.pivoted(found, [key], models.select(key, F.when(F.col("model") == F.col("base"), F.lit("")).otherwise(F.col("model")).alias("model"), "model_ord"), "")
-    sets = diffs.clustered(pivot, [key]).withColumn("text", choose(F.col("readings")))
+    sets = diffs.clustered(pivot, [key])
+    if resolver:
+        clusters = sets.groupBy(key, "cluster").agg(F.array_sort(F.collect_list(F.struct("b_pos", "b_len", "readings"))).alias("d")).join(base.select(key, "b"), key)
+        sets = resolver(clusters).select(key, "cluster", F.explode(F.arrays_zip("d", "choices")).alias("z")).select(key, "cluster", "z.d.b_pos", "z.d.b_len", F.col("z.choices").alias("text"))
+    else:
+        sets = sets.withColumn("text", choose(F.col("readings")))
     per = sets.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("b_pos", "b_len", "text"))).alias("d"), F.countDistinct("cluster").alias("n_clusters"), F.count("*").alias("n_diffs"))
     got = base.join(per, key, "left")
     none = F.array().cast("array<struct<b_pos:int,b_len:int,text:string>>")
@@ -50,33 +60,77 @@ def keep_anchor(anchor: Column, others: Column) -> Column:
     return diffs.plurality(F.concat(F.transform(F.coalesce(others, F.array().cast("array<string>")), lambda t: F.struct(F.lit("x").alias("model"), t.alias("text"))), F.array(F.struct(F.lit("").alias("model"), anchor.alias("text")))))
 
 
+def flat_passages(sources: DataFrame, key: str, size: int = CHUNK_WORDS) -> DataFrame:
+    """(key, chunk, own, given): the first source's words by chunks, and the others' at the same places; one row with
+    null chunk for a recording without words. All is cut within the recording's row, so that no text is copied."""
+    df = aligned(sources, key)
+    n = F.size("anchor")
+    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(size))).otherwise(F.array().cast("array<int>"))
+
+    def cut(a: Column) -> Column:
+        z = F.least(a + size, n)
+        return F.struct(F.array_join(F.slice("anchor", a + 1, z - a), " ").alias("own"), F.transform("others", lambda o: chunks.aligned_slice(o["ws"], o["places"], a, z)).alias("given"))
+
+    return df.select(key, F.posexplode_outer(F.transform(starts, cut)).alias("chunk", "p")).select(key, "chunk", "p.own", "p.given")
+
+
+def flat_joined(passages: DataFrame, key: str) -> DataFrame:
+    """(key, n_chunks, text): chosen passages in order, with blank lines between."""
+    some = F.when(F.col("chunk").isNotNull(), F.struct("chunk", "chosen"))
+    return passages.groupBy(key).agg(F.count("chunk").alias("n_chunks"), F.array_join(F.transform(F.array_sort(F.collect_list(some)), lambda x: x["chosen"]), "\n\n").alias("text"))
+
+
 def flat_merge(sources: DataFrame, key: str, size: int = CHUNK_WORDS, choose=keep_anchor) -> DataFrame:
     """(key, n_chunks, text): the first source cut into chunks, each with the others' words at the same places, chosen, and joined by blank lines."""
-    df = aligned(sources, key)
-    starts = F.when(F.size("anchor") > 0, F.sequence(F.lit(0), F.size("anchor") - 1, F.lit(size))).otherwise(F.array().cast("array<int>"))
-    df = df.select("*", F.posexplode_outer(starts).alias("chunk", "start")).withColumn("stop", F.least(F.col("start") + size, F.size("anchor")))
-    own = F.array_join(F.slice("anchor", F.col("start") + 1, F.col("stop") - F.col("start")), " ")
-    given = F.transform("others", lambda o: chunks.aligned_slice(o["ws"], o["places"], F.col("start"), F.col("stop")))
-    df = df.withColumn("chosen", F.when(F.col("chunk").isNotNull(), choose(own, given)))
-    return df.groupBy(key).agg(F.count("chunk").alias("n_chunks"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("chunk").isNotNull(), F.struct("chunk", "chosen")))), lambda x: x["chosen"]), "\n\n").alias("text"))
+    return flat_joined(flat_passages(sources, key, size).withColumn("chosen", choose(F.col("own"), F.col("given"))), key)
+
+
+def structured_passages(skeleton: DataFrame, sources: DataFrame, key: str, cap: int = CHUNK_WORDS) -> DataFrame:
+    """(key, seg_ord, chunk, speaker, stamp, own, given, n_sources): segments of the skeleton with the other sources' words
+    at the same places; chunks are filled greedily up to `cap` words. Cut within the recording's row."""
+    seg = skeleton.select(key, "seg_ord", "speaker", "stamp", words(F.col("text")).alias("ws")).withColumn("n", F.size("ws"))
+    start = F.coalesce(F.sum("n").over(Window.partitionBy(key).orderBy("seg_ord").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int")
+    seg = seg.withColumn("start", start)
+    whole = seg.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("seg_ord", "speaker", "stamp", "ws", "n", "start"))).alias("s")).withColumn("chunks", chunks.greedy(F.col("s.n"), cap))
+    anchor = whole.select(key, F.lit(0).alias("source_ord"), F.lit("skeleton").alias("source"), F.array_join(F.transform("s", lambda x: F.array_join(x["ws"], " ")), " ").alias("text"))
+    both = aligned(anchor.unionByName(sources.select(key, (F.col("source_ord") + 1).alias("source_ord"), "source", "text")), key)
+
+    def cut(x: Column, chunk: Column) -> Column:
+        given = F.transform("others", lambda o: chunks.aligned_slice(o["ws"], o["places"], x["start"], x["start"] + x["n"]))
+        return F.struct(x["seg_ord"].alias("seg_ord"), chunk.alias("chunk"), x["speaker"].alias("speaker"), x["stamp"].alias("stamp"), F.array_join(x["ws"], " ").alias("own"), given.alias("given"))
+
+    rows = whole.join(both.select(key, "others"), key).select(key, F.explode(F.zip_with("s", "chunks", cut)).alias("p"), (F.coalesce(F.size("others"), F.lit(0)) + 1).alias("n_sources"))
+    return rows.select(key, "p.*", "n_sources")
+
+
+def separated(sources: DataFrame, key: str, skeleton: str) -> tuple[DataFrame, DataFrame]:
+    """The source of that name and the others, in order; a recording without it is an error when its rows are read."""
+    found = sources.withColumn("_has", F.max(F.col("source") == skeleton).over(Window.partitionBy(key)))
+    found = found.withColumn("_ok", F.when(F.col("_has"), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit(f"source {skeleton} isn't there for "), F.col(key).cast("string"))).cast("boolean")))
+    found = found.where("_ok").drop("_has", "_ok")
+    return found.where(F.col("source") == skeleton), found.where(F.col("source") != skeleton)
 
 
 def structured_merge(skeleton: DataFrame, sources: DataFrame, key: str, cap: int = CHUNK_WORDS, choose=keep_anchor) -> DataFrame:
     """(key, seg_ord, chunk, speaker, stamp, text, n_sources): segments of the skeleton with the other sources' words at
     the same places, chosen; chunks are filled greedily up to `cap` words."""
-    seg = skeleton.select(key, "seg_ord", "speaker", "stamp", words(F.col("text")).alias("ws"))
-    whole = seg.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("seg_ord", "ws"))).alias("s"))
-    anchor = whole.select(key, F.lit(0).alias("source_ord"), F.lit("skeleton").alias("source"), F.array_join(F.transform("s", lambda x: F.array_join(x["ws"], " ")), " ").alias("text"))
-    both = aligned(anchor.unionByName(sources.select(key, (F.col("source_ord") + 1).alias("source_ord"), "source", "text")), key)
-    sizes = whole.select(key, F.col("s.seg_ord").alias("ords"), F.transform("s", lambda x: F.size(x["ws"])).alias("sizes"))
-    sizes = sizes.withColumn("chunks", chunks.greedy(F.col("sizes"), cap)).withColumn("starts", F.transform("sizes", lambda n, i: F.aggregate(F.slice("sizes", F.lit(1), i), F.lit(0), lambda s, x: s + x)))
-    at = sizes.select(key, F.explode(F.arrays_zip("ords", "chunks", "starts")).alias("z")).select(key, F.col("z.ords").alias("seg_ord"), F.col("z.chunks").alias("chunk"), F.col("z.starts").alias("start"))
-    df = seg.join(at, [key, "seg_ord"]).join(both, key).withColumn("stop", F.col("start") + F.size("ws"))
-    given = F.transform("others", lambda o: chunks.aligned_slice(o["ws"], o["places"], F.col("start"), F.col("stop")))
-    return df.select(key, "seg_ord", "chunk", "speaker", "stamp", choose(F.array_join("ws", " "), given).alias("text"), (F.coalesce(F.size("others"), F.lit(0)) + 1).alias("n_sources"))
+    seg = structured_passages(skeleton, sources, key, cap)
+    return seg.select(key, "seg_ord", "chunk", "speaker", "stamp", choose(F.col("own"), F.col("given")).alias("text"), "n_sources")
+
+
+def driven(texts: DataFrame, key: str, adjudicate: bool = True, resolver=None) -> DataFrame:
+    """(key, base, n_models, text): the route a recording's models take: no text for less than two, the base's own
+    without an adjudicator, else the resolved one."""
+    by = texts.groupBy(key).agg(base_model(F.collect_set("model")).alias("base"), F.count("*").alias("n_models"))
+    own = texts.join(by, key).where("model = base").select(key, "base", "n_models", F.col("text").alias("own"))
+    if not adjudicate:
+        return own.select(key, "base", "n_models", F.when(F.col("n_models") > 1, F.col("own")).alias("text"))
+    got = resolve(texts.join(by.where("n_models > 1").select(key), key, "left_semi"), key, resolver=resolver).select(key, "text")
+    return own.join(got, key, "left").select(key, "base", "n_models", "text")
 
 
 def rendering(segments: DataFrame, key: str) -> DataFrame:
-    """(key, text): segments as **Speaker** (stamp) paragraphs."""
-    one = structure.rendered(F.col("speaker"), F.col("stamp"), F.col("text"))
-    return segments.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg_ord", one.alias("t")))), lambda x: x["t"]), "\n\n").alias("text"))
+    """(key, text): segments as paragraphs under **Speaker** (stamp) lines, a blank line after each."""
+    head = F.concat(F.lit("**"), "speaker", F.lit("**"), F.coalesce(F.concat(F.lit(" ("), "stamp", F.lit(")")), F.lit("")))
+    one = F.concat(head, F.lit("\n\n"), "text", F.lit("\n"))
+    return segments.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg_ord", one.alias("t")))), lambda x: x["t"]), "\n").alias("text"))

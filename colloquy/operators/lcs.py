@@ -135,7 +135,8 @@ def with_lcs(pairs: DataFrame, a: str, b: str, **outs: str) -> DataFrame:
     schema = T.StructType([*pairs.schema.fields, *(T.StructField(name, kinds[what][0]) for what, name in outs.items())])
 
     def work(batches):
-        for batch in batches:
+        # a table takes the product of two lengths over eight, so a few pairs at a time
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             left, right = batch.column(a).to_pylist(), batch.column(b).to_pylist()
             for what, name in outs.items():
                 f = kinds[what][1]

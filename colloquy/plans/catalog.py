@@ -1,6 +1,6 @@
 """Query name -> function, and query name -> DuckDB SQL."""
 
-from colloquy.plans import collate, evaluate, speech, texts
+from colloquy.plans import collate, evaluate, merges, speech, texts
 
-QUERIES: dict = {**collate.QUERIES, **evaluate.QUERIES, **speech.QUERIES, **texts.QUERIES}
-ORACLES: dict[str, str] = {**collate.ORACLES, **evaluate.ORACLES, **speech.ORACLES, **texts.ORACLES}
+QUERIES: dict = {**collate.QUERIES, **evaluate.QUERIES, **merges.QUERIES, **speech.QUERIES, **texts.QUERIES}
+ORACLES: dict[str, str] = {**collate.ORACLES, **evaluate.ORACLES, **merges.ORACLES, **speech.ORACLES, **texts.ORACLES}
