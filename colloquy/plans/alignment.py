@@ -20,10 +20,13 @@ dp AS (SELECT k, 0 AS i, [0::BIGINT FOR q IN range(0, len(y) + 1)] AS r FROM p3
     lambda cur, j: list_append(cur, CASE WHEN y[j[1]] = x[dp.i + 1] THEN dp.r[j[1]] + 1 ELSE greatest(dp.r[j[1] + 1], cur[-1]) END), [0::BIGINT])
   FROM dp JOIN p3 ON p3.k = dp.k WHERE dp.i < len(x)),
 tb AS MATERIALIZED (SELECT k, list(r ORDER BY i) AS t FROM dp GROUP BY k),
-way AS (SELECT p3.k, len(x) AS i, len(y) AS j, false AS hit FROM p3 UNION ALL
-  SELECT k, CASE WHEN up OR NOT lft THEN i - 1 ELSE i END, CASE WHEN up THEN j ELSE j - 1 END, NOT up AND NOT lft
-  FROM (SELECT way.k, i, j, t[i + 1][j + 1] = t[i][j + 1] AS up, j > 1 AND t[i + 1][j] <> t[i][j] AS lft FROM way JOIN tb ON tb.k = way.k WHERE i > 0 AND j > 0)),
-hits AS (SELECT way.k, way.i + head AS i, way.j + head AS j FROM way JOIN p3 ON p3.k = way.k WHERE hit
+way AS MATERIALIZED (SELECT p3.k, head, list_reduce([[q] FOR q IN range(0, len(x) + len(y))], lambda st, q: CASE
+    WHEN st[1] = 0 OR st[2] = 0 THEN st
+    WHEN t[st[1] + 1][st[2] + 1] = t[st[1]][st[2] + 1] THEN list_concat([st[1] - 1, st[2]], st[3:])
+    WHEN st[2] > 1 AND t[st[1] + 1][st[2]] <> t[st[1]][st[2]] THEN list_concat([st[1], st[2] - 1], st[3:])
+    ELSE list_concat([st[1] - 1, st[2] - 1, (st[1] - 1) * 1000000 + st[2] - 1], st[3:]) END, [len(x), len(y)])[3:] AS met
+  FROM p3 JOIN tb ON tb.k = p3.k),
+hits AS (SELECT k, c // 1000000 + head AS i, c % 1000000 + head AS j FROM (SELECT k, head, unnest(met) AS c FROM way)
   UNION ALL SELECT k, q, q FROM (SELECT k, unnest(range(0, head)) AS q FROM p3)
   UNION ALL SELECT k, n - tail + q, m - tail + q FROM (SELECT k, len(a) AS n, len(b) AS m, tail, unnest(range(0, tail)) AS q FROM p3)),
 marks AS (SELECT k, i, j FROM hits UNION ALL SELECT k, len(a), len(b) FROM pp),
