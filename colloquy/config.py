@@ -6,7 +6,7 @@ from dataclasses import dataclass, fields
 
 from colloquy.functions import fixed
 
-STEPS = ("download", "transcribe", "ensemble", "diarize", "slides", "merge", "markdown", "summarize", "analysis")
+STEPS = ("download", "recognise", "ensemble", "diarize", "slides", "merge", "markdown", "summarize", "analysis")
 
 
 @dataclass(frozen=True)
@@ -51,7 +51,7 @@ def ensemble_route(models: list[str], adjudicate: bool = True) -> tuple[str, str
 
 
 def merge_route(sources: list[str], external_form: str | None = None, diarized_form: str | None = None) -> str:
-    """How sources are merged: structured by the external transcript's form, else by that of the diarized text; a single
+    """How sources are merged: structured by the external text's form, else by that of the diarized text; a single
     source with a diarized text gives that text as it is; without a form at least two are merged flat."""
     if external_form:
         return "structured:external"

@@ -16,7 +16,7 @@ from colloquy.functions.text import clean_answer, clean_choice, normalized, show
 from colloquy.operators import choose, diffs, ensemble
 from colloquy.sources import files
 
-TASK = "Several transcripts of one speech differ. None is better than the others; judge each difference on its own."
+TASK = "Several versions of one speech differ. None is better than the others; judge each difference on its own."
 ONLY = "Answer with words that were said, and with nothing else."
 
 
@@ -155,7 +155,7 @@ SECTIONS = ("Summary", "Main points", "Quotations")
 
 def summaries(texts: DataFrame, key: str, call: Callable[[str], str], text: str = "text", model: str = "", sections: tuple[str, ...] = SECTIONS, **how) -> DataFrame:
     """(key, page): a summary of each whole text, with a line that names the model; texts that are blank have none."""
-    prompt = F.when(F.trim(text) != "", F.concat(F.lit(f"Summarise this transcript under the headings {', '.join(sections)}.\n\n"), F.col(text)))
+    prompt = F.when(F.trim(text) != "", F.concat(F.lit(f"Summarise this text under the headings {', '.join(sections)}.\n\n"), F.col(text)))
     got = choose.adjudicated(texts.withColumn("prompt", prompt), "prompt", call, **how)
     return got.where("answer is not null").select(key, F.concat(F.lit("# Summary\n\n"), clean_answer(F.col("answer")), F.lit(f"\n\n*Summarised by {model}*\n" if model else "\n")).alias("page"))
 

@@ -1,4 +1,4 @@
-"""Choosing: hypotheses, transcripts, prices, and adjudicators that may answer over a network."""
+"""Choosing: hypotheses, texts, prices, and adjudicators that may answer over a network."""
 
 from __future__ import annotations
 
@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 
 from colloquy.functions import fixed
 
-# Which transcript is taken for the best, by use; which hypothesis is scored.
+# Which text is taken for the best, by use; which hypothesis is scored.
 BEST = {"markdown": ("merged", "speech"), "summary": ("diarized", "merged", "speech", "captions")}
-HYPOTHESES = {"auto": ("diarized", "structured_merged", "plain_merged", "speech_merged", "speech_medium", "speech_small"), "speech": ("speech_merged", "speech_medium", "speech_small")}
+HYPOTHESES = {"merged": ("structured_merged", "plain_merged"), "diarized": ("diarized",), "auto": ("diarized", "structured_merged", "plain_merged", "speech_merged", "speech_medium", "speech_small"), "speech": ("speech_merged", "speech_medium", "speech_small")}
 RETRIED, WAIT, TRIES = (429, 500, 502, 503, 529), 5.0, 5
 
 
@@ -45,6 +45,21 @@ def cost(words: Column, sources: Column, model: Column, chunk: int = fixed.CHUNK
     return tokens(F.floor(words * sources / n) + 500) * p["input"] / 1000 + tokens(F.floor(words / n)) * p["output"] / 1000
 
 
+def total_cost(words: Column, slides: Column, sources: Column, models: Column, model: Column, chunk: int = fixed.CHUNK_WORDS) -> Column:
+    """struct(slides, merge, ensemble, total): what a run costs; null slides or sources are left out, as are ensembles of
+    less than two models."""
+    parts = [F.coalesce(image_cost(slides), F.lit(0.0)), F.coalesce(cost(words, sources, model, chunk), F.lit(0.0)), F.when(models > 1, cost(words, models, model, chunk)).otherwise(F.lit(0.0))]
+    return F.struct(*[p.alias(n) for p, n in zip(parts, ("slides", "merge", "ensemble"), strict=True)], (parts[0] + parts[1] + parts[2]).alias("total"))
+
+
+def hypothesis(kind: str, has: Callable[[str], Column], merged: Column | None = None) -> Column:
+    """The text kind that is scored: the first of HYPOTHESES that is there; a merged text counts as structured if its lines
+    have speakers and stamps."""
+    shaped = F.coalesce(F.regexp_like(merged, F.lit(r"(?m)^\*\*.+?\*\*\s*\([0-9]+:[0-9]{2}:[0-9]{2}\)")), F.lit(False)) if merged is not None else F.lit(False)
+    there = lambda k: has("merged") & shaped if k == "structured_merged" else has("merged") & ~shaped if k == "plain_merged" else has(k)
+    return first_kind(list(HYPOTHESES[kind]), there)
+
+
 def image_cost(slides: Column) -> Column:
     return slides * fixed.IMAGE_PRICE
 

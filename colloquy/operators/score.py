@@ -1,4 +1,4 @@
-"""Scores of transcripts: word error rate, cpWER, diarization error rate, survival. Recordings are worked on alone."""
+"""Scores of texts: word error rate, cpWER, diarization error rate, survival. Recordings are worked on alone."""
 
 from __future__ import annotations
 

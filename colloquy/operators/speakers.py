@@ -65,6 +65,21 @@ def majority(rows: DataFrame, keys: list[str], speaker: str) -> DataFrame:
     return best.select(*keys, F.col("best.s").alias("speaker"), (-F.col("best.v")).alias("votes"))
 
 
+def segment_speakers(segments: DataFrame, turns_of: DataFrame, key: str, width: float = 60.0) -> DataFrame:
+    """Add `speaker` to segments (key, ord, start, stop, words): the majority of its words' speakers at their midpoints, or
+    without words the speaker at its own; UNKNOWN in a recording without turns. Words are struct(start, stop)."""
+    from functools import reduce
+
+    mid = lambda a, b: (a + b) / 2
+    none = F.col("words").isNull() | (F.size("words") == 0)
+    mids = F.when(none, F.array(mid(F.col("start"), F.col("stop")))).otherwise(F.transform("words", lambda w: mid(w["start"], w["stop"])))
+    asked = segments.select(key, F.col("ord").alias("_ord"), F.posexplode(mids).alias("_i", "_mid")).withColumn("_asked", F.concat_ws(":", F.col("_ord").cast("string"), F.col("_i").cast("string")))
+    found = speaker_at(asked, turns_of, key, "_asked", "_mid", width)
+    votes = majority(found, [key, "_ord"], "speaker").select(key, F.col("_ord").alias("ord"), F.col("speaker").alias("_speaker"))
+    left = reduce(lambda d, c: d.drop(c), ["speaker"], segments)
+    return left.join(votes, [key, "ord"], "left").withColumn("speaker", F.coalesce("_speaker", F.lit("UNKNOWN"))).drop("_speaker")
+
+
 def appearance(rows: DataFrame, keys: list[str], speaker: str, order: str) -> DataFrame:
     """`rank` of each speaker by first appearance, from 1 on."""
     first = rows.groupBy(*keys, speaker).agg(F.min(order).alias("first"))
@@ -82,6 +97,12 @@ def renamed(label: Column, names: Column) -> Column:
     return F.coalesce(F.try_element_at(names, label), label)
 
 
+def names_applied(segments: DataFrame, names: Column, speaker: str = "speaker", words: str = "words") -> DataFrame:
+    """Labels by a map of names, on segments and on the words in them."""
+    inner = F.transform(words, lambda w: w.withField(speaker, renamed(w[speaker], names)))
+    return segments.withColumn(speaker, renamed(F.col(speaker), names)).withColumn(words, inner)
+
+
 def intro(rows: DataFrame, keys: list[str], order: str, n: str, most: int) -> DataFrame:
     """The first rows until `most` words are reached, with the row that reaches them."""
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)

@@ -1,4 +1,4 @@
-"""Transcripts with speakers' names and times: finding the form, parsing, rendering."""
+"""Texts with speakers' names and times: finding the form, parsing, rendering."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Queries on texts: `documents` as captions, transcripts and line files, `conversations` as turns, `pages` as pages."""
+"""Queries on texts: `documents` as captions, texts with speakers and line files, `conversations` as turns, `pages` as pages."""
 
 from __future__ import annotations
 

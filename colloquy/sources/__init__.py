@@ -1 +1 @@
-"""Readers of transcripts, captions, pages and references, and writers."""
+"""Readers of captions, pages and references, and writers."""

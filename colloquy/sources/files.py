@@ -22,7 +22,12 @@ def whole(spark: SparkSession, path: str) -> DataFrame:
 
 def speech_texts(spark: SparkSession, path: str) -> DataFrame:
     """(file, model, text) of files whisper_<model>.txt; merged ones are left out."""
-    got = whole(spark, path).withColumn("model", F.regexp_extract("file", r"whisper_(.*)\.txt$", 1))
+    return model_texts(whole(spark, path))
+
+
+def model_texts(raw: DataFrame) -> DataFrame:
+    """(file, model, text) of (file, text) by the files' names."""
+    got = raw.withColumn("model", F.regexp_extract("file", r"whisper_(.*)\.txt$", 1))
     return got.where("model <> '' and not contains(model, 'merged')").select("file", "model", "text")
 
 
@@ -40,7 +45,12 @@ def parsed_segments(raw: DataFrame) -> DataFrame:
 
 def speaker_turns(spark: SparkSession, path: str) -> DataFrame:
     """(file, ord, start, stop, speaker) of diarization JSON, a list of turns in order."""
-    raw = whole(spark, path).select("file", F.posexplode(F.from_json("text", f"array<struct<{', '.join(x.replace(' ', ':', 1) for x in TURN.split(', '))}>>")).alias("ord", "s"))
+    return parsed_turns(whole(spark, path))
+
+
+def parsed_turns(texts: DataFrame) -> DataFrame:
+    """(file, ord, start, stop, speaker) of (file, text)."""
+    raw = texts.select("file", F.posexplode(F.from_json("text", f"array<struct<{', '.join(x.replace(' ', ':', 1) for x in TURN.split(', '))}>>")).alias("ord", "s"))
     return raw.select("file", "ord", F.round("s.start", 3).alias("start"), F.round("s.end", 3).alias("stop"), F.col("s.speaker").alias("speaker"))
 
 
@@ -57,9 +67,9 @@ def caption_text(raw):
     return F.array_join(F.array_distinct(F.filter(plain, lambda x: x != "")), " ")
 
 
-def metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Media metadata; descriptions are cut to 500 characters."""
-    m = spark.read.schema(METADATA).json(path, multiLine=True)
+def metadata(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Media metadata, a record a file or a line; descriptions are cut to 500 characters."""
+    m = spark.read.schema(METADATA).json(path, multiLine=not lines)
     return m.select("url", F.coalesce("video_id", "id").alias("video_id"), "title", "channel", "upload_date", F.coalesce("duration", F.lit(0.0)).alias("duration_seconds"), F.left(F.coalesce("description", F.lit("")), F.lit(500)).alias("description"))
 
 
@@ -82,8 +92,56 @@ def filtered(entries: DataFrame, subset: str | None = None, ids: list[str] | Non
 
 
 def dataset_csv(spark: SparkSession, path: str) -> DataFrame:
-    """(file_id, duration_secs, ...) of a dataset's metadata table."""
-    return spark.read.csv(path, header=True).withColumn("duration_secs", F.coalesce(F.col("duration_secs").try_cast("double"), F.lit(0.0)))
+    """(file_id, duration_secs, sampling_rate, speakers, ...) of a dataset's metadata table; numbers that can't be read are 0."""
+    df = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True)
+    kinds = {"duration_secs": "double", "sampling_rate": "int", "speakers": "int"}
+    return df.withColumns({c: F.coalesce(F.col(c).try_cast(t), F.lit(0).cast(t)) for c, t in kinds.items() if c in df.columns})
+
+
+def external(spark: SparkSession, path: str, raw: DataFrame | None = None) -> DataFrame:
+    """(file, text) of published texts: pages by their text, others as they are, trimmed. Any path that Spark reads."""
+    from colloquy.functions.text import is_html
+    from colloquy.sources.pages import with_text
+
+    df = (raw if raw is not None else whole(spark, path)).select("file", F.regexp_replace("text", r"^\s+|\s+$", "").alias("html"))
+    return with_text(df, "html", "plain").select("file", F.when(is_html(F.col("html")), F.col("plain")).otherwise(F.col("html")).alias("text"))
+
+
+def kept_metadata(spark: SparkSession, path: str, compute) -> DataFrame:
+    """Metadata kept at `path` if there is some; else that of `compute()`, written there first."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return metadata(spark, path, lines=True)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+    compute().write.json(path)
+    return metadata(spark, path, lines=True)
+
+
+def run_files(raw: DataFrame, key: str = "run") -> DataFrame:
+    """What a run has on disk, by its files' names: (run, audio, captions, speech: map of model -> file, base, segments,
+    diarized, merged). raw: (run, file). The base is the merged speech text, else the best model's."""
+    from colloquy.operators.ensemble import base_model
+
+    name = F.element_at(F.split("file", "/"), -1)
+    model = F.regexp_extract(name, r"^whisper_(.*)\.txt$", 1)
+    one = lambda when: F.min(F.when(when, F.col("file")))
+    speech = F.when((model != "") & ~model.contains("merged"), F.struct(model.alias("model"), F.col("file").alias("file")))
+    per = raw.groupBy(key).agg(
+        F.coalesce(one(name == "audio.mp3"), one(name == "audio.wav")).alias("audio"), one(name == "captions.en.vtt").alias("captions"), F.map_from_entries(F.array_sort(F.collect_list(speech))).alias("speech"),
+        one(name == "whisper_merged.txt").alias("_w"), F.collect_set(F.when(name.rlike(r"^whisper_.*\.json$"), F.struct(F.regexp_extract(name, r"^whisper_(.*)\.json$", 1).alias("model"), F.col("file").alias("file")))).alias("_j"),
+        one(name == "diarized.txt").alias("diarized"), one(name.rlike("^(?!whisper_)[a-z]+_merged[.]txt$")).alias("merged"),
+    )
+    best = base_model(F.map_keys("speech"))
+    return per.select(key, "audio", "captions", "speech", F.coalesce("_w", F.try_element_at("speech", best)).alias("base"), F.get(F.filter("_j", lambda x: x["model"] == best), F.lit(0))["file"].alias("segments"), "diarized", "merged")
+
+
+def input_times(raw: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """(key, inputs): times of the named files that are there, for `checkpoints.up_to_date`. raw: (key, file, at)."""
+    name = F.element_at(F.split("file", "/"), -1)
+    return raw.groupBy(key).agg(F.array_sort(F.collect_list(F.when(name.isin(names), F.col("at")))).alias("inputs"))
 
 
 def references(raw: DataFrame, key: str, text: str) -> DataFrame:
@@ -114,6 +172,11 @@ def rttm(raw: DataFrame, line: str) -> DataFrame:
 
 def tensors(spark: SparkSession, path: str) -> DataFrame:
     """(file, shape, values) of .npy files of numbers."""
+    return parsed_tensors(spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_name").alias("file"), "content"))
+
+
+def parsed_tensors(raw: DataFrame) -> DataFrame:
+    """(file, shape, values) of (file, content)."""
     import pyarrow as pa
 
     def work(batches):
@@ -125,7 +188,6 @@ def tensors(spark: SparkSession, path: str) -> DataFrame:
             arrays = [np.load(io.BytesIO(x), allow_pickle=False) for x in b.column("content").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("file"), pa.array([list(a.shape) for a in arrays], pa.list_(pa.int64())), pa.array([a.astype("f4").ravel().tolist() for a in arrays], pa.list_(pa.float32()))], ["file", "shape", "values"])
 
-    raw = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_name").alias("file"), "content")
     return raw.mapInArrow(work, "file string, shape array<long>, values array<float>")
 
 

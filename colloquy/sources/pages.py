@@ -1,4 +1,4 @@
-"""Text of transcript pages."""
+"""Text of published pages."""
 
 from __future__ import annotations
 
@@ -171,7 +171,8 @@ FURNITURE = [
     r"(?m)^[^\n]*[0-9]+ MIN READ[^\n]*$",
     r"(?m)^\s*OPINION\s*$",
 ]
-LETTER = r"\s*Sign up for the [^\n]+ newsletter[^\n]*\n(?:[^\n]*\n)*?[^\n]*Get it sent to your inbox\.\n"
+# The first and the last line of an offer, with what lies between.
+LETTER, LETTER_END = r"\s*Sign up for the [^\n]+ newsletter[^\n]*\n", r"[^\n]*Get it sent to your inbox\.\n"
 TAILS = [
     r"(?m)^\s*(?:THE EZRA KLEIN SHOW|By Ezra Klein|Produced by [\p{L}\p{N}_]+ [\p{L}\p{N}_]+)\s*\n",
     r"(?m)^\s*[A-Z][a-z]+\.?\s+[0-9]{1,2},\s+[0-9]{4}\s*\n",
@@ -184,6 +185,25 @@ TAILS = [
 ]
 
 
+def without_offers(t: Column) -> Column:
+    """From each first line of an offer to the next last line, a line feed. By cutting at both, as a pattern that runs over
+    any number of lines would need a stack as deep."""
+    parts = F.split(t, rf"(?={LETTER})")  # each but the first starts with the white space before a first line
+    starts = lambda x: F.regexp_like(x, F.lit(rf"^{LETTER}"))
+    start = F.struct(F.lit("").alias("out"), F.lit("").alias("open"))
+
+    def add(s: Column, x: Column) -> Column:
+        inside = s["open"] != ""
+        held = F.when(inside, F.concat(s["open"], x)).when(starts(x), x)
+        rest = F.regexp_replace(held, rf"^{LETTER}", "")
+        ends = F.regexp_instr(rest, F.lit(LETTER_END))
+        after = F.regexp_replace(F.substring(rest, ends, F.length(rest)), rf"^{LETTER_END}", "")
+        closed = F.struct(F.concat(s["out"], F.lit("\n"), after).alias("out"), F.lit("").alias("open"))
+        return F.when(held.isNull(), F.struct(F.concat(s["out"], x).alias("out"), F.lit("").alias("open"))).when(ends > 0, closed).otherwise(F.struct(s["out"].alias("out"), held.alias("open")))
+
+    return F.aggregate(parts, start, add, lambda s: F.concat(s["out"], s["open"]))
+
+
 def print_text(raw: Column) -> Column:
     """A printed interview as plain paragraphs, without page furniture, with straight quotes."""
     from colloquy.functions.text import plain_quotes
@@ -192,7 +212,7 @@ def print_text(raw: Column) -> Column:
     t = raw
     for p in FURNITURE:
         t = F.regexp_replace(t, p, "")
-    t = F.regexp_replace(t, LETTER, "\n")
+    t = without_offers(t)
     for p in TAILS:
         t = F.regexp_replace(t, p, "")
     t = F.regexp_replace(plain_quotes(t), r"\n{3,}", "\n\n")
