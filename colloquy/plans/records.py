@@ -196,7 +196,7 @@ def segment_votes(spark, sf):
     """Segments of a day by the majority of their words, by their own midpoint where they have none, and UNKNOWN in
     recordings without turns."""
     e = events(spark, sf).withColumn("ord", F.floor(F.col("t") / 86400).cast("long"))
-    segs = e.groupBy("rec", "ord").agg(F.min("t").alias("start"), F.max("t").alias("stop"), F.collect_list(F.struct(F.col("t").alias("start"), (F.col("t") + 1).alias("stop"))).alias("w"))
+    segs = e.groupBy("rec", "ord").agg(F.min("t").alias("start"), F.max("t").alias("stop"), F.sort_array(F.collect_list(F.struct(F.col("t").alias("start"), (F.col("t") + 1).alias("stop")))).alias("w"))
     segs = segs.withColumn("words", F.when(F.col("ord") % 2 == 1, F.col("w"))).drop("w")
     return speakers.segment_speakers(segs, segments(spark, sf).where("rec % 4 > 0"), "rec", 3600.0).select("rec", "ord", "speaker")
 
