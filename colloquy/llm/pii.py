@@ -225,6 +225,10 @@ def pseudonym(m: Column, key: str) -> Column:
     )
 
 
+def number_of(found: str, kind: str) -> Column:
+    return F.size(F.filter(found, lambda x: x["kind"] == kind)).cast("long")
+
+
 def pseudonymised(docs: DataFrame, key: str, text: str = "text", counts: bool = False) -> DataFrame:
     """Replace `text`; on request add n_<kind> for each kind, in place of columns of that name."""
     t, at = F.col(text), unused(docs, "found")
@@ -235,7 +239,7 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text", counts: bool =
     woven = F.array_join(F.zip_with(gaps, F.transform(F.col(at), lambda x: x["value"]), lambda g, v: F.concat(g, F.coalesce(v, F.lit("")))), "")
     docs = docs.withColumn(text, F.when(F.size(at) > 0, woven).otherwise(t))
     if counts:
-        docs = docs.withColumns({f"n_{k}": F.size(F.filter(at, lambda x, k=k: x["kind"] == k)).cast("long") for k in KINDS})
+        docs = docs.withColumns({f"n_{k}": number_of(at, k) for k in KINDS})
     return docs.drop(at)
 
 

@@ -160,6 +160,12 @@ def test_pseudonyms_of_odd_rows(odd, empty):
     assert pii.pseudonymised(empty, pii.PUBLIC_KEY).count() == 0
 
 
+def test_kinds_are_counted(spark):
+    df = spark.createDataFrame([(1, "a@example.com and b@example.org, 4111111111111111, 4111111111111112"), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymised(df, "k", counts=True).collect()}
+    assert (got[1].n_email, got[1].n_card, got[1].n_secret, got[2].n_email) == (2, 1, 0, 0)
+
+
 def test_dates_are_one_to_one(spark):
     days = spark.sql("SELECT explode(sequence(date'1990-01-01', date'2009-12-31')) AS d")
     texts = days.selectExpr("explode(array(date_format(d, 'MM/dd/yyyy'), date_format(d, 'dd/MM/yyyy'))) AS text").distinct()
