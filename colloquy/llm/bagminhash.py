@@ -245,7 +245,7 @@ def near_classes(docs: DataFrame, similarity: Fraction = SIMILARITY, n_bands: in
     classes, links = classes_and_links(docs, similarity, n_bands, n_rows, k)
     share = F.struct((F.col("common") / F.col("either")).alias("s"), (-F.col("b")).alias("o"))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "common", "either"))
-    best = both.groupBy(F.col("a").alias("copy_of")).agg(F.max(share).alias("m"))
+    best = written(both.groupBy(F.col("a").alias("copy_of")).agg(F.max(share).alias("m")), "near-best")
     return classes.join(best, "copy_of", "left").select("doc_id", "class_id", "copy_of", (-F.col("m.o")).alias("linked_to"), F.col("m.s").alias("similarity"))
 
 
