@@ -11,7 +11,8 @@ than k words have one k-mer.
 
 `neighbours` gives each doc_id the next one without a sort in one task: ids are dealt by range, and only the ends of
 ranges meet. Rows with the same doc_id are one place in that order, with the smallest of their texts; rows without
-doc_id have no next document, whose text then counts as empty.
+doc_id have no next document, whose text then counts as empty. Columns but doc_id and text don't matter, whatever their
+names; an empty table gives an empty one. Places have 28 bits: texts of up to 268 million words.
 """
 
 from __future__ import annotations
@@ -55,6 +56,8 @@ def kmers(words: Column, k: int) -> Column:
 
 def numbered(hashes: Column, buckets: int) -> Column:
     """One long for each numbered k-mer: bucket, hash, place from the highest bits on; sorted."""
+    if not 0 < buckets <= 32:
+        raise ValueError("a bucket's number has five bits")
     packed = F.sort_array(F.transform(hashes, lambda h, i: F.shiftleft(F.shiftrightunsigned(h, PLACE), PLACE).bitwiseOR(i.cast("long"))))
 
     def runs(s: Column) -> Column:

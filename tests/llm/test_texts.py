@@ -94,6 +94,53 @@ def test_fingerprints(spark, docs):
     assert all(same.setdefault(t, got[i].fingerprint) == got[i].fingerprint for i, t in rows)
 
 
+def plain_fingerprint(text, k=3, buckets=32, chosen=2):
+    """The entries of a text's fingerprint, one numbered k-mer after another."""
+    import struct
+    from collections import Counter, defaultdict
+
+    import xxhash
+
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+
+    def chain(*values, kind="<q"):
+        h = 42
+        for v in values:
+            h = xxhash.xxh64(v if isinstance(v, bytes) else struct.pack("<i" if isinstance(v, tuple) else "<q", v[0] if isinstance(v, tuple) else v), h).intdigest()
+        return signed(h)
+
+    w = [chain(x) for x in re.findall(rb"[^\x20\x09-\x0d]+", text.encode())]
+    mers = [chain(*w[i : i + k]) for i in range(len(w) - k + 1)] if len(w) >= k else [chain(*w)] if w else []
+    seen, found = Counter(), defaultdict(list)
+    for place, h in enumerate(mers):
+        name = (h & (1 << 64) - 1) >> 28
+        e = chain(name, (seen[name],)) & (1 << 64) - 1
+        seen[name] += 1
+        found[(e >> 40) % buckets].append((e & (1 << 30) - 1, place))
+    out = []
+    for b in range(buckets):
+        best = [h for h, _ in sorted(sorted(found[b])[:chosen], key=lambda x: x[1])]
+        out.append(chain(*(best + [-1] * (chosen - len(best)))) if best else None)
+    return out
+
+
+def test_fingerprints_are_those_of_plain_code(spark, docs):
+    texts = TEXTS + [r.text for r in docs.limit(40).collect()] + ["a b c " * 50, "one two", "one"]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", orderhash.fingerprint(F.col("t")).alias("f")).collect()
+    assert all(r.f == plain_fingerprint(texts[r.i]) for r in got)
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())[:30]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    show = lambda f: "".join("." * 16 if x is None else f"{x & (1 << 64) - 1:016x}" for x in f)
+    like = lambda a, b: 1.0 if not (both := [x == y for x, y in zip(a, b) if x is not None or y is not None]) else sum(both) / len(both)
+    for k, r in enumerate(sorted(orderhash.compared(df).collect(), key=lambda r: r.doc_id)):
+        t, after = rows[k][1], rows[(k + 1) % len(rows)][1]
+        q = len(t) // 4
+        own, other, near = plain_fingerprint(t), plain_fingerprint(t[: len(t) - q] + after[:q]), plain_fingerprint(after)
+        assert (r.fingerprint, r.edited_fingerprint) == (show(own), show(other)) and abs(r.near_edited - like(own, other)) + abs(r.near_next - like(own, near)) < 1e-9
+    with pytest.raises(ValueError):
+        orderhash.fingerprint(F.col("t"), buckets=33)
+
+
 def test_fingerprints_follow_edits_and_order(spark):
     r = random.Random(1)
     base = [f"w{i}" for i in range(400)]
@@ -576,13 +623,82 @@ def test_lines():
     assert bound.tolist() == [0, 3, 4, 5, 6] and [(bytes(data[s:e])) for s, e in zip(start, end)] == [b"a", b"b", b"", b"", b"", b"c"]
 
 
+# --- texts that are hard on stacks and memory
+def test_very_long_texts_in_every_operator(spark):
+    from colloquy.llm import bagminhash, doubling, parsing
+
+    texts = ["word " * 200_000, "x@" + "a." * 50_000 + "com", "\n".join(f"line {i % 97}" for i in range(50_000)), "token=" + "x" * 70_000, "+1 " * 30_000, "0" * 100_000, "secret: " + "a.b" * 20_000, None, ""]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).cache()
+    n = len(texts)
+    assert pieces.digest(df).where("parity and round_trip").count() == n
+    assert bagminhash.near_classes(df).count() == n
+    got = {r.doc_id: r for r in doubling.removed(df).collect()}
+    assert len(got) == n and got[0].n_words == 200_000 and got[0].n_removed == 0
+    assert orderhash.compared(df).count() == n
+    safe = {r.doc_id: r.text for r in pii.pseudonymised(df, "k").collect()}
+    assert safe[0] == texts[0] and len(safe[3]) == len(texts[3]) and safe[3] != texts[3]
+    assert ogg.digest(df).where("payload_bytes >= n_bytes").count() == n
+    got = {r.doc_id: r for r in parsing.removed(df).collect()}
+    assert got[0].n_removed == got[0].n_bytes == 1_000_000 and got[5].n_removed == 100_000
+    assert html.main_text(df.withColumnRenamed("text", "html")).count() == n
+    assert mixing.mix(df).count() >= 0
+    some = spark.createDataFrame([(i, i % 2, 0) for i in range(n)], "doc_id long, quality int, toxic int")
+    assert crf.scored(df, crf.fit(crf.sample(df, some))).where("score between 0 and 1").count() == n
+    df.unpersist()
+
+
 # --- pipeline
-def test_pipeline(spark, sf):
+def test_pipeline(spark, sf, tmp_path):
+    """Each stage, and all of them, against what plain code makes of the same rows."""
     import corpus_pipeline as p
+    from test_dedup import classes
 
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    for name, stage in p.STAGES[:-1]:
-        out = stage(spark, docs, sf)
-        assert out.columns == docs.columns, name
-    got = p.run(spark, sf)
-    assert got.count() > 0 and got.where("not parity or not round_trip").count() == 0
+    assert [n for n, _ in p.STAGES] == ["quality", "near_duplicates", "personal_data", "mix", "tokens"]
+    stage = dict(p.STAGES)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+
+    model = crf.fit(crf.sample(docs, spark.read.parquet(f"{sf}/labels.parquet")))
+    good = stage["quality"](spark, docs, sf)
+    keep = [r for r in docs.collect() if model.score(*words.buffers(pa.array([r.text or ""])))[0] >= crf.THRESHOLD]
+    assert good.columns == docs.columns and rows(good) == sorted(tuple(r) for r in keep)
+
+    one = stage["near_duplicates"](spark, good, sf)
+    of = classes([(r.doc_id, r.text) for r in keep])
+    keep = [r for r in keep if of[r.doc_id] == r.doc_id]
+    assert one.columns == docs.columns and rows(one) == sorted(tuple(r) for r in keep)
+
+    safe = stage["personal_data"](spark, one, sf)
+    got = {r.doc_id: r for r in safe.collect()}
+    assert safe.columns == docs.columns and set(got) == {r.doc_id for r in keep}
+    for r in keep:
+        assert got[r.doc_id].n_chars == len(got[r.doc_id].text) and not set(re.findall(r"[\w.]+@[\w.]+\w", r.text)) & set(re.findall(r"[\w.]+@[\w.]+\w", got[r.doc_id].text))
+        if not re.search(r"[0-9@=]", r.text):
+            assert got[r.doc_id].text == r.text
+
+    mixed = stage["mix"](spark, safe, sf)
+    safe.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duck(sf)
+    con.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    plain = mixing.SQL.replace("CASE WHEN size < 20 THEN 0.25::DOUBLE WHEN size < 100 THEN 0.5 ELSE 1.0 END", "1.0::DOUBLE")
+    want = con.sql(f"SELECT doc_id, n_copies FROM ({plain}) WHERE n_copies > 0").fetchall()
+    assert mixed.columns == docs.columns and sorted((r.doc_id, r["count"]) for r in mixed.groupBy("doc_id").count().collect()) == sorted(want)
+
+    tokens = stage["tokens"](spark, mixed, sf)
+    import sentencepiece
+
+    ref = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    ids = {i: ref.encode(r.text) for i, r in got.items()}
+    assert all(r.ids == ids[r.doc_id] and r.parity and r.round_trip for r in tokens.collect())
+    assert sorted((r.doc_id, r.ids_sha256) for r in p.run(spark, sf).collect()) == sorted((r.doc_id, r.ids_sha256) for r in tokens.collect())
+
+
+def test_pipeline_of_odd_rows(spark, odd, empty, sf):
+    import corpus_pipeline as p
+
+    for docs in (odd, empty):
+        columns, n = docs.columns, docs.count()
+        for name, stage in p.STAGES:
+            docs = stage(spark, docs, sf)
+            assert name == "tokens" or docs.columns == columns, name
+        assert (docs.count() > 0) == (n > 0)
