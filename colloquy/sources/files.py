@@ -204,3 +204,12 @@ def slide_answer(answer, schema: str = "type string, title string, subtitle stri
 def names_answer(answer):
     """map of speaker label -> name from a model's answer: the first {...} without inner braces; empty if there is none."""
     return F.coalesce(F.from_json(F.regexp_extract(answer, r"(\{[^{}]*\})", 1), "map<string,string>"), F.create_map().cast("map<string,string>"))
+
+
+def with_metadata(entries: DataFrame, table: DataFrame, key: str, duration: str) -> DataFrame:
+    """Entries with their duration, 0 where the table has no row, and a map of the table's other columns, empty there."""
+    rest = [c for c in table.columns if c not in (key, duration)]
+    pairs = [x for c in rest for x in (F.lit(c), F.col(c).cast("string"))]
+    side = table.select(key, F.col(duration).alias("_secs"), F.create_map(*pairs).alias("_meta") if pairs else F.create_map().cast("map<string,string>").alias("_meta"))
+    got = entries.join(side, key, "left")
+    return got.withColumn(duration, F.coalesce("_secs", F.lit(0.0))).withColumn("metadata", F.coalesce("_meta", F.create_map().cast("map<string,string>"))).drop("_secs", "_meta")
