@@ -188,7 +188,7 @@ TAILS = [
 def without_offers(t: Column) -> Column:
     """From each first line of an offer to the next last line, a line feed. By cutting at both, as a pattern that runs over
     any number of lines would need a stack as deep."""
-    parts = F.split(t, rf"(?={LETTER})")  # each but the first starts with the white space before a first line
+    parts = F.split(t, rf"(?<!\s)(?={LETTER})")  # each but the first starts with the white space before a first line
     starts = lambda x: F.regexp_like(x, F.lit(rf"^{LETTER}"))
     start = F.struct(F.lit("").alias("out"), F.lit("").alias("open"))
 
