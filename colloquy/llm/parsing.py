@@ -1,19 +1,21 @@
 """Substring deduplication over bytes by prefix-free parsing.
 
-A 64-byte string is a core if its rolling hash is the smallest among its neighbours'; every 200-byte string holds one,
-and equal strings hold it at the same place. Cores parse each text. The 132 bytes that end with a core and the 132 that
-start with it are triggers: one of the two lies in any 200 bytes around the core, whichever way they reach further. A
-trigger that the corpus has once can't lie in a repeated string, and nothing more is done for it: what is left is the
-highly repetitive part.
-
-For each other trigger, every place has a dictionary part (the bytes before the trigger, one suffix for each length) and
-a parse part (the bytes from the trigger on). Places are put in corpus order: the parse parts are sorted once, as in a
-suffix array, and for each suffix length this order is merged with that of the dictionary suffixes. Neighbours in that
-order that share the suffix and the rest of 200 bytes are repeated strings. Comparison in order is by 64-bit hashes of
-the two parts among the places of one trigger.
-
-Triggers with over `HOT` places, which would fill a task's memory, go another way with the same result: the hashes of
-their 200-byte strings are counted in the JVM, partly before the shuffle.
+A 16-byte string is a trigger where its rolling hash is the smallest among 64 neighbours', and a 200-byte string's trigger
+is the smallest of its first 64, so that equal strings have theirs at the same place. Triggers cut each text into phrases that overlap by a trigger, so that no suffix of one that
+is longer than a trigger is a prefix of another: a place in the corpus is told by a suffix of a phrase of the dictionary,
+up to its trigger, and the parse from there on. In corpus order, places that share the suffix and enough of the parse
+after it stand side by side, and 200 bytes are repeated exactly if they do so with a neighbour.
+
+Only that is asked, to 200 bytes and no further. So suffixes of the dictionary and of the parse have names (hashes of 64
+and 128 bits) where others have ranks in suffix arrays: equal names are neighbours, can be dealt to any number of tasks,
+and a name that very many places share is summed before the shuffle. Neither array is sorted.
+
+1. The parse: each trigger names the parse from it on, as far as every 200 bytes that start in the phrase before it
+   reach. Names that the corpus has once end here; the rest is the highly repetitive part.
+2. The phrase before a trigger with the parse after it to 200 bytes, as a whole: where that is repeated, all is that
+   starts in the phrase.
+3. What is left are the ends of repeated passages. There each suffix of the phrase with the parse after it, to 200 bytes,
+   gets a name of its own, and those that are repeated count; of what step 2 has found one place each takes part.
 
 Texts that are equal take part once; if they have 200 bytes all their bytes are repeated. Defined results: null text is
 empty text; shorter texts keep everything; two equal rows are two documents; ids take no part in the decision, nor do
@@ -32,7 +34,8 @@ from pyspark.sql import functions as F
 from colloquy.llm import words
 from colloquy.llm.shared import written
 
-LENGTH, TRIGGER, HOT = 200, 132, 20_000
+#: Bytes of a string, of a trigger, and how many neighbours a trigger is the smallest of: the longest phrase's new part.
+LENGTH, TRIGGER, SPREAD = 200, 16, 64
 _TABLE = words.mix(np.arange(1, 257).astype(np.uint64))
 
 
@@ -53,175 +56,134 @@ def cut(s: np.ndarray, start: np.ndarray, length, seed: int = 0) -> np.ndarray:
     return words.mix((s[start + length] - s[start]) * words.inverse_powers(words.BASES[seed], len(s))[start])
 
 
-def triggers(data: np.ndarray, offs: np.ndarray, length: int, trigger: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, hash, text) of each trigger: two for each core, one that ends with it and one that starts with it."""
-    n, core = len(data), 2 * trigger - length
-    if n < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    s = sums(data)
-    k = n - core + 1
-    h = words.mix((s[core:] - s[:-core]) * words.inverse_powers(words.BASES[0], n)[:k])
-    owner = words.owners(offs)
-    first = np.flatnonzero(np.arange(n) + length <= offs[1:][owner])
-    pick = words.minimizers(h, first, length - core + 1)
-    text = owner[pick]
-    before, after = pick - (trigger - core), pick + trigger
-    place = np.unique(np.concatenate([before[before >= offs[text]], pick[after <= offs[text + 1]]]))
-    return place, cut(s, place, trigger), owner[place]
+class Parse:
+    """Triggers of a run of texts: `place` in bytes, `text`, and the strings whose first trigger each is: those that start
+    from `lo` to `hi`. A string's first trigger is the smallest of its first `spread`."""
+
+    def __init__(self, data: np.ndarray, offs: np.ndarray, length: int, trigger: int, spread: int):
+        n, self.length, self.reach = len(data), length, length - spread + 1
+        self.sums = sums(data)
+        self.place = self.text = self.lo = self.hi = np.zeros(0, np.int64)
+        if n < length:
+            return
+        h = words.mix((self.sums[trigger:] - self.sums[:-trigger]) * words.inverse_powers(words.BASES[0], n)[: n - trigger + 1])
+        owner = words.owners(offs)
+        start = np.flatnonzero(np.arange(n) + length <= offs[1:][owner])
+        at = words.chosen(h, start, spread)  # within the string's own first bytes, so that equal strings choose alike
+        if not len(start):
+            return
+        new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (owner[start[1:]] != owner[start[:-1]])]))
+        self.place, self.text, self.lo, self.hi = at[new], owner[start[new]], start[new], start[np.append(new[1:], len(start)) - 1]
+
+    def names(self) -> np.ndarray:
+        """The name of the parse from each trigger on."""
+        return cut(self.sums, self.place, self.reach)
+
+    def contexts(self, data: np.ndarray) -> list[np.ndarray]:
+        """Two names of each phrase with the parse after it."""
+        size = self.hi + self.length - self.lo
+        return [cut(self.sums if s == 0 else sums(data, s), self.lo, size, s) ^ words.mix(size.astype(np.uint64)) for s in (0, 1)]
+
+
+def runs(b: pa.RecordBatch):
+    """For each run of a batch's texts: bytes, offsets, first and last row."""
+    data, offs = words.buffers(b.column("text"))
+    for i, j in words.chunks(offs):
+        yield data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], i, j
+
+
+def spots(text: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Numbers that tell places apart, by their texts' hashes, so that those of equal texts are one."""
+    return words.mix(text ^ words.mix(place.astype(np.uint64) + np.uint64(1))).view(np.int64)
 
 
-def parse(docs: DataFrame, length: int, trigger: int) -> DataFrame:
-    """(h, tid, pos, times) of all triggers: of a trigger's places in a text the first and the last; times add up to all."""
+def parsed(docs: DataFrame, length: int, trigger: int, spread: int) -> DataFrame:
+    """(h, tid, spot): the names of the parse; of a name's places in a text the first and the last."""
 
     def work(batches):
         for b in batches:
-            data, offs = words.buffers(b.column("text"))
             tid = b.column("tid").to_numpy()
-            for i, j in words.chunks(offs):
-                o = offs[i : j + 1] - offs[i]
-                pick, h, text = triggers(data[offs[i] : offs[j]], o, length, trigger)
-                at, times = words.ends_of_runs(h, text)
-                pick, h, text = pick[at], h[at], text[at]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(tid[i + text]), pa.array(pick - o[text], pa.int64()), pa.array(times)], ["h", "tid", "pos", "times"])
-
-    return docs.select("text", "tid").mapInArrow(work, "h long, tid long, pos long, times long")
+            for part, o, i, _ in runs(b):
+                p = Parse(part, o, length, trigger, spread)
+                h = p.names()
+                at, _ = words.ends_of_runs(h, p.text)
+                mine = tid[i + p.text[at]]
+                yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(mine), pa.array(spots(mine.view(np.uint64), p.place[at] - o[p.text[at]]))], ["h", "tid", "spot"])
 
+    return docs.select("text", "tid").mapInArrow(work, "h long, tid long, spot long")
 
-def alive_in(b: pa.RecordBatch, column: str, length: int, trigger: int):
-    """For each run of texts of a batch: bytes, offsets, first row, and the triggers whose hashes the column lists."""
-    data, offs = words.buffers(b.column("text"))
-    known, known_offs = words.lists(b.column(column))
-    for i, j in words.chunks(offs):
-        o = offs[i : j + 1] - offs[i]
-        part = data[offs[i] : offs[j]]
-        pick, h, text = triggers(part, o, length, trigger)
-        ok = words.members(h, text, known[known_offs[i] : known_offs[j]], known_offs[i : j + 1] - known_offs[i])
-        yield part, o, i, pick[ok], h[ok], text[ok]
 
-
-def contexts(docs: DataFrame, length: int, trigger: int) -> DataFrame:
-    """(h, tid, n, pos, before, bytes): the bytes around each place of a repeated trigger."""
-    reach = length - trigger
+def phrases(docs: DataFrame, length: int, trigger: int, spread: int) -> DataFrame:
+    """(k, g, h, tid, lo, hi, spot): phrases before triggers whose names the text's `known` lists."""
+    names = ["k", "g", "h", "tid", "lo", "hi", "spot"]
 
     def work(batches):
         for b in batches:
-            tid, size = b.column("tid").to_numpy(), b.column("n").to_numpy()
-            for part, o, i, pick, h, text in alive_in(b, "known", length, trigger):
-                a, z = np.maximum(pick - reach, o[text]), np.minimum(pick + trigger + reach, o[text + 1])
-                raw = part.tobytes()
-                around = pa.array([raw[x:y] for x, y in zip(a.tolist(), z.tolist(), strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(tid[i + text]), pa.array(size[i + text]), pa.array(pick - o[text], pa.int64()), pa.array(pick - a, pa.int64()), around], ["h", "tid", "n", "pos", "before", "around"])
-
-    return docs.select("text", "tid", "n", "known").mapInArrow(work, "h long, tid long, n long, pos long, before long, around binary")
-
-
-def repeated_among(h: np.ndarray, before: np.ndarray, data: np.ndarray, offs: np.ndarray, length: int, trigger: int) -> np.ndarray:
-    """For each place and each suffix length 0 .. length - trigger, whether another place of the trigger has the same string."""
-    reach, n = length - trigger, len(h)
-    size = np.diff(offs)
-    after = size - before - trigger
-    wide = np.zeros((n, 2 * reach + trigger), np.uint8)
-    column = np.arange(2 * reach + trigger)[None] - (reach - before)[:, None]
-    inside = (column >= 0) & (column < size[:, None])
-    wide[inside] = data
-    # the parse parts in order, for each trigger
-    right = np.ascontiguousarray(wide[:, reach + trigger :]).view(f"S{reach}").ravel()
-    order = np.argsort(right, kind="stable")
-    order = order[np.argsort(h[order], kind="stable")]
-    h, before, after, wide = h[order], before[order], after[order], wide[order]
-    p = words.powers(words.BASES[0], 2 * reach + trigger)
-    body = _TABLE[wide]
-    left = np.zeros((n, reach + 1), np.uint64)  # of the suffix of each length before the trigger
-    np.cumsum(body[:, reach - 1 :: -1] * p[1 : reach + 1], axis=1, out=left[:, 1:])
-    rest = np.zeros((n, reach + 1), np.uint64)  # of the first bytes after it
-    np.cumsum(body[:, reach + trigger :] * p[1 : reach + 1], axis=1, out=rest[:, 1:])
-    found = np.zeros((n, reach + 1), bool)
-    for a in range(reach + 1):
-        rows = np.flatnonzero((before >= a) & (after >= reach - a))
-        key = words.mix(left[rows, a] ^ words.mix(h[rows]))
-        at = np.argsort(key, kind="stable")  # dictionary suffixes, parse order kept within each
-        rows, key = rows[at], key[at]
-        same = (key[1:] == key[:-1]) & (rest[rows[1:], reach - a] == rest[rows[:-1], reach - a])
-        found[rows[1:][same], a] = True
-        found[rows[:-1][same], a] = True
-    out = np.zeros_like(found)
-    out[order] = found
-    return out
-
+            tid = b.column("tid").to_numpy()
+            known, known_offs = words.lists(b.column("known"))
+            for part, o, i, j in runs(b):
+                p = Parse(part, o, length, trigger, spread)
+                h = p.names()
+                ok = words.members(h, p.text, known[known_offs[i] : known_offs[j]], known_offs[i : j + 1] - known_offs[i])
+                p.place, p.text, p.lo, p.hi = p.place[ok], p.text[ok], p.lo[ok], p.hi[ok]
+                mine, at = tid[i + p.text], o[p.text]
+                cols = [*(x.view(np.int64) for x in p.contexts(part)), h[ok].view(np.int64), mine]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(p.lo - at, pa.int32()), pa.array(p.hi - at, pa.int32()), pa.array(spots(mine.view(np.uint64), p.lo - at))], names)
 
-def ordered(places: DataFrame, length: int, trigger: int, rows: int = 8192) -> DataFrame:
-    """(tid, n, start, stop): the union of the repeated strings around each place."""
-    reach = length - trigger
+    return docs.select("text", "tid", "known").mapInArrow(work, "k long, g long, h long, tid long, lo int, hi int, spot long")
 
-    def settle(table: pa.Table):
-        h = table.column("h").to_numpy()
-        before, pos = table.column("before").to_numpy(), table.column("pos").to_numpy()
-        data, offs = words.buffers(table.column("around"))
-        found = repeated_among(h, before, data, offs, length, trigger)
-        some = np.flatnonzero(found.any(1))
-        most, least = reach - np.argmax(found[some, ::-1], 1), np.argmax(found[some], 1)
-        return pa.RecordBatch.from_arrays([pa.array(table.column("tid").to_numpy()[some]), pa.array(table.column("n").to_numpy()[some]), pa.array(pos[some] - most), pa.array(pos[some] - least + length)], ["tid", "n", "start", "stop"])
 
-    def work(batches):
-        held, n = [], 0
-        for b in batches:
-            for i in range(0, b.num_rows, rows):
-                held.append(b.slice(i, rows))
-                n += held[-1].num_rows
-                if n < rows:
-                    continue
-                table = pa.Table.from_batches(held)
-                h = table.column("h").to_numpy()
-                full = int(np.searchsorted(h, h[-1], "left"))  # the last trigger may go on
-                if full:
-                    yield settle(table.slice(0, full).combine_chunks())
-                held, n = table.slice(full).combine_chunks().to_batches(), table.num_rows - full
-        if n:
-            yield settle(pa.Table.from_batches(held).combine_chunks())
-
-    return places.repartition("h").sortWithinPartitions("h").mapInArrow(work, "tid long, n long, start long, stop long")
-
-
-def counted(docs: DataFrame, length: int, trigger: int) -> DataFrame:
-    """The same as `ordered` for the triggers in `hot`, by counting strings' hashes."""
-    reach = length - trigger
+def strings(docs: DataFrame, length: int) -> DataFrame:
+    """(k, g, tid, start, asks): two names of each string that starts in the phrases `asked` (lo, hi, asks) of a text."""
 
     def work(batches):
         for b in batches:
-            tid, size = b.column("tid").to_numpy(), b.column("n").to_numpy()
-            for part, o, i, pick, _, text in alive_in(b, "hot", length, trigger):
-                start = (pick[:, None] - np.arange(reach + 1)[None]).ravel()
-                owner = np.repeat(text, reach + 1)
-                ok = (start >= o[owner]) & (start + length <= o[owner + 1])
-                start, at = np.unique(start[ok], return_index=True)
-                owner = owner[ok][at]
-                g = [cut(sums(part, s), start, length, s).view(np.int64) for s in (0, 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*g, tid[i + owner], size[i + owner], start - o[owner])], ["g", "k", "tid", "n", "start"])
-
-    strings = docs.select("text", "tid", "n", "hot").mapInArrow(work, "g long, k long, tid long, n long, start long")
-    strings = written(strings, "parse-hot")
-    again = written(strings.groupBy("g", "k").count().where("count > 1").select("g", "k"), "parse-again")
-    return strings.join(again, ["g", "k"]).select("tid", "n", "start", (F.col("start") + length).alias("stop"))
-
-
-def removed(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, hot: int = HOT, text_out: bool = False) -> DataFrame:
+            tid, asked = b.column("tid").to_numpy(), b.column("asked")
+            for part, o, i, j in runs(b):
+                both = [sums(part, s) for s in (0, 1)]
+                for row in range(i, j):
+                    own = asked[row].values
+                    lo, hi = (own.field(c).to_numpy().astype(np.int64) for c in ("lo", "hi"))
+                    size = hi - lo + 1
+                    start = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+                    asks = np.repeat(own.field("asks").to_numpy(zero_copy_only=False), size)
+                    for at in range(0, len(start), 1 << 16):
+                        s, a = start[at : at + (1 << 16)], asks[at : at + (1 << 16)]
+                        cols = [cut(x, o[row - i] + s, length, k).view(np.int64) for k, x in enumerate(both)]
+                        yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(np.full(len(s), tid[row])), pa.array(s, pa.int32()), pa.array(a)], ["k", "g", "tid", "start", "asks"])
+
+    return docs.select("text", "tid", "asked").mapInArrow(work, "k long, g long, tid long, start int, asks boolean")
+
+
+def repeats(docs: DataFrame, texts: DataFrame, length: int, trigger: int, spread: int) -> DataFrame:
+    """(tid, start, stop): what is repeated, by text; `texts` tells the one row that stands for each."""
+    names = parsed(docs, length, trigger, spread)
+    # sums first, written, and then joins that can be split: one name may have a third of all places
+    often = written(names.groupBy("h").agg(F.min("spot").alias("x"), F.max("spot").alias("y")).where("x <> y").select("h"), "parse-often")
+    known = written(names.select("h", "tid").join(often, "h").groupBy("tid").agg(F.collect_set("h").alias("known")), "parse-known")
+    one = docs.join(texts, ["tid", "n"]).where(F.col("doc_id").eqNullSafe(F.col("first"))).select("tid", "text")
+    found = written(phrases(one.join(known, "tid"), length, trigger, spread), "parse-phrases")
+    whole = written(found.groupBy("k", "g").agg(F.min("spot").alias("x"), F.max("spot").alias("y")).where("x <> y").select("k", "g", "x"), "parse-whole")
+    found = written(found.join(whole, ["k", "g"], "left").select("h", "tid", "lo", "hi", F.col("x").isNull().alias("asks"), (F.col("x") == F.col("spot")).alias("one")), "parse-found")
+    spans = found.where("not asks").select("tid", F.col("lo").alias("start"), (F.col("hi") + length).alias("stop"))
+    ends = written(found.where("asks").select("h").distinct(), "parse-ends")
+    asked = found.where("asks or one").join(ends, "h", "left_semi").groupBy("tid").agg(F.collect_set(F.struct("lo", "hi", "asks")).alias("asked"))
+    rest = one.join(written(asked, "parse-asked"), "tid")
+    again = written(strings(rest, length).groupBy("k", "g").agg(F.count("*").alias("n"), F.max("asks").alias("asks")).where("n > 1 and asks").select("k", "g"), "parse-again")
+    more = strings(rest, length).where("asks").join(again, ["k", "g"]).select("tid", "start", (F.col("start") + length).alias("stop"))
+    return spans.union(more)
+
+
+def removed(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, spread: int = SPREAD, text_out: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and on request the kept bytes."""
+    if spread + trigger > length:
+        raise ValueError("a string must hold a trigger")
     docs = prepared(docs)
-    place = F.xxhash64("tid", "pos")  # tells places apart; a long, so that sums need no sort
-    places = parse(docs, length, trigger)
-    # sums first, then a join that can be split: one trigger may have a third of all places
-    often = written(places.groupBy("h").agg(F.min(place).alias("x"), F.max(place).alias("y"), F.sum("times").alias("places")).where("x <> y").select("h", "places"), "parse-often")
-    level = places.select("h", "tid").join(often, "h")
-    lists = level.groupBy("tid").agg(F.collect_set(F.when(F.col("places") <= hot, F.col("h"))).alias("known"), F.collect_set(F.when(F.col("places") > hot, F.col("h"))).alias("hot"))
-    alive = written(lists, "parse-alive")
     texts = written(docs.groupBy("tid", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "parse-texts")
-    chosen = docs.join(alive.join(texts, "tid"), ["tid", "n"]).where(F.col("doc_id").eqNullSafe(F.col("first")))
-    spans = ordered(contexts(chosen.where("size(known) > 0"), length, trigger), length, trigger)
-    if alive.where("size(hot) > 0").limit(1).count():
-        spans = spans.union(counted(chosen.where("size(hot) > 0"), length, trigger))
-    found = spans.groupBy("tid", "n").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    copies = texts.where((F.col("copies") > 1) & (F.col("n") >= length)).select("tid", "n", F.lit(True).alias("whole"))
-    marks = written(found.join(copies, ["tid", "n"], "full_outer"), "parse-marks")
+    spans = repeats(docs, texts.select("tid", "n", "first"), length, trigger, spread)
+    found = spans.groupBy("tid").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    copies = texts.where((F.col("copies") > 1) & (F.col("n") >= length)).select("tid", F.lit(True).alias("whole"))
+    marks = written(found.join(copies, "tid", "full_outer"), "parse-marks")
     names = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * text_out
 
     def work(batches):
@@ -238,8 +200,8 @@ def removed(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, hot:
                     both = spans[i].values
                     start, stop = (both.field(k).to_numpy() for k in (0, 1))
                     step = np.zeros(z - a + 1, np.int64)
-                    np.add.at(step, start, 1)
-                    np.add.at(step, stop, -1)
+                    np.add.at(step, np.minimum(start, z - a), 1)
+                    np.add.at(step, np.minimum(stop, z - a), -1)
                     out = np.cumsum(step[:-1]) > 0
                     gone = int(out.sum())
                     n_spans = int(np.count_nonzero(out[1:] & ~out[:-1]) + out[0])
@@ -250,7 +212,7 @@ def removed(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER, hot:
             arrays += [pa.array(cols[4], pa.binary())] * text_out
             yield pa.RecordBatch.from_arrays(arrays, [x.split()[0] for x in names.split(", ")])
 
-    return docs.join(marks, ["tid", "n"], "left").select("doc_id", "text", "spans", "whole").mapInArrow(work, names)
+    return docs.join(marks, "tid", "left").select("doc_id", "text", "spans", "whole").mapInArrow(work, names)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -156,16 +156,16 @@ def bytes_removed(rows, length):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("length", "trigger", "hot"), [(200, 132, 20_000), (200, 132, 2), (24, 16, 20_000), (24, 15, 3)])
-def test_parsing(docs, length, trigger, hot):
+@pytest.mark.parametrize(("length", "trigger", "spread"), [(200, 16, 64), (200, 8, 150), (24, 4, 8), (24, 16, 8)])
+def test_parsing(docs, length, trigger, spread):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    got = parsing.removed(docs, length, trigger, hot).collect()
+    got = parsing.removed(docs, length, trigger, spread).collect()
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == bytes_removed(rows, length)
 
 
 def test_parsing_odd_rows(odd, empty):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
-    got = parsing.removed(odd, 10, 7, text_out=True).collect()
+    got = parsing.removed(odd, 10, 4, 5, text_out=True).collect()
     assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == bytes_removed(rows, 10)
     assert parsing.removed(empty).count() == 0
 
