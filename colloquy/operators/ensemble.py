@@ -21,10 +21,9 @@ def base_model(models: Column) -> Column:
     return F.array_min(F.transform(models, model_rank))["m"]
 
 
-def resolve(texts: DataFrame, key: str, model: str = "model", text: str = "text", choose=diffs.plurality, resolver=None) -> DataFrame:
-    """(key, base, n_models, n_diffs, n_clusters, text): loops collapsed, differences of each model from the best one
-    found, trivial ones left out, pivoted, clustered, chosen by `choose`, and applied to the base. A `resolver` instead
-    adds `choices` to clusters (key, cluster, b, d), with d an array of struct(b_pos, b_len, readings)."""
+def differences(texts: DataFrame, key: str, model: str = "model", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(key, base, n_models, b: the base's words), and (key, b_pos, b_len, b_text, readings, cluster): where models differ
+    from the base, loops collapsed and trivial differences left out."""
     plain = loops.with_loops(texts.select(key, F.col(model).alias("model"), F.col(text).alias("text")), "text").select(key, "model", words(F.col("collapsed")).alias("ws"))
     bases = plain.groupBy(key).agg(base_model(F.collect_set("model")).alias("base"), F.count("*").alias("n_models"))
     plain = plain.join(bases, key)
@@ -33,10 +32,21 @@ def resolve(texts: DataFrame, key: str, model: str = "model", text: str = "text"
     found = diffs.positioned(pairs, [key, "model"], "a", "b", "an", "bn").where(~diffs.is_trivial(F.col("a_text"), F.col("b_text")))
     models = plain.select(key, "model", F.row_number().over(Window.partitionBy(key).orderBy(model_rank(F.col("model")))).alias("model_ord"), "base")
     pivot = diffs.pivoted(found, [key], models.select(key, F.when(F.col("model") == F.col("base"), F.lit("")).otherwise(F.col("model")).alias("model"), "model_ord"), "")
-    sets = diffs.clustered(pivot, [key])
+    return base, diffs.clustered(pivot, [key])
+
+
+def clusters(base: DataFrame, sets: DataFrame, key: str) -> DataFrame:
+    """(key, cluster, d, b): clusters of differences, d an array of struct(b_pos, b_len, readings) in order, with the base's words."""
+    return sets.groupBy(key, "cluster").agg(F.array_sort(F.collect_list(F.struct("b_pos", "b_len", "readings"))).alias("d")).join(base.select(key, "b"), key)
+
+
+def resolve(texts: DataFrame, key: str, model: str = "model", text: str = "text", choose=diffs.plurality, resolver=None) -> DataFrame:
+    """(key, base, n_models, n_diffs, n_clusters, text): loops collapsed, differences of each model from the best one
+    found, trivial ones left out, pivoted, clustered, chosen by `choose`, and applied to the base. A `resolver` instead
+    adds `choices` to clusters (key, cluster, b, d), with d an array of struct(b_pos, b_len, readings)."""
+    base, sets = differences(texts, key, model, text)
     if resolver:
-        clusters = sets.groupBy(key, "cluster").agg(F.array_sort(F.collect_list(F.struct("b_pos", "b_len", "readings"))).alias("d")).join(base.select(key, "b"), key)
-        sets = resolver(clusters).select(key, "cluster", F.explode(F.arrays_zip("d", "choices")).alias("z")).select(key, "cluster", "z.d.b_pos", "z.d.b_len", F.col("z.choices").alias("text"))
+        sets = resolver(clusters(base, sets, key)).select(key, "cluster", F.explode(F.arrays_zip("d", "choices")).alias("z")).select(key, "cluster", "z.d.b_pos", "z.d.b_len", F.col("z.choices").alias("text"))
     else:
         sets = sets.withColumn("text", choose(F.col("readings")))
     per = sets.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("b_pos", "b_len", "text"))).alias("d"), F.countDistinct("cluster").alias("n_clusters"), F.count("*").alias("n_diffs"))

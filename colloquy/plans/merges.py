@@ -159,6 +159,27 @@ SELECT fin.k, 'distil-large-v3' AS base, 3::BIGINT AS n_models, coalesce(n_diffs
 FROM fin JOIN v ON v.k = fin.k LEFT JOIN ns ON ns.k = fin.k"""
 
 
+def turn_prompts(spark, sf):
+    """Questions about each cluster of differences: words around, marks, and lettered readings."""
+    base, sets = ensemble.differences(models(spark, sf), "k")
+    c = ensemble.clusters(base, sets, "k")
+    return c.select("k", "cluster", F.size("d").alias("n_diffs"), adjudicate.choices_asked(F.col("d"))[0].alias("n_choices"), diffs.prompt(F.col("b"), F.col("d"), 5).alias("prompt"))
+
+
+def prompts_sql() -> str:
+    head = ensemble_sql("''")
+    shown = lambda c: f"CASE WHEN {c} = '' THEN '(omit)' ELSE '\"' || {c} || '\"' END"
+    return head[: head.index("ch AS MATERIALIZED")] + f"""
+cn AS (SELECT cl.*, (dense_rank() OVER (PARTITION BY k ORDER BY isle, part) - 1)::INTEGER AS cluster FROM cl),
+lm AS (SELECT k, cluster, greatest(0, min(b_pos) - 5) AS lo, arg_max(b_pos + b_len, (b_pos, b_len)) + 5 AS hi FROM cn GROUP BY k, cluster),
+st AS (SELECT cn.*, lo, least(len(v2), hi) AS hi, len(v2) AS size, v2, row_number() OVER w AS i, greatest(lo, coalesce(max(b_pos + b_len) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS upto
+  FROM cn JOIN lm ON lm.k = cn.k AND lm.cluster = cn.cluster JOIN v ON v.k = cn.k WINDOW w AS (PARTITION BY cn.k, cn.cluster ORDER BY b_pos, b_len)),
+ln AS (SELECT k, cluster, count(*)::INTEGER AS n_diffs, any_value(lo) AS lo, any_value(hi) AS hi, any_value(size) AS size, any_value(v2) AS v2, greatest(any_value(lo), max(b_pos + b_len)) AS fin,
+  string_agg(CASE WHEN array_to_string(v2[upto + 1 : b_pos], ' ') <> '' THEN array_to_string(v2[upto + 1 : b_pos], ' ') || ' ' ELSE '' END || '[' || i || '] ', '' ORDER BY i) AS said,
+  string_agg(i || '. A) ' || {shown('m')} || '  B) ' || {shown('q')} || '  C) ' || {shown('b_text')}, chr(10) ORDER BY i) AS asked FROM st GROUP BY k, cluster)
+SELECT k, cluster, n_diffs, 3 AS n_choices, CASE WHEN lo > 0 THEN '... ' ELSE '' END || said || array_to_string(v2[fin + 1 : hi], ' ') || CASE WHEN hi < size THEN ' ...' ELSE '' END || chr(10) || asked AS prompt FROM ln"""
+
+
 def odd_letters(prompt: str) -> str:
     """A scripted adjudicator: silent where it sees the words around; else B for the first of every two differences."""
     if "[1]" in prompt:
@@ -212,9 +233,9 @@ u AS (SELECT conv_id, turn, 'changed' AS type, NOT ({alignment.only_common('x')}
   UNION ALL SELECT conv_id, turn, 'b_only', NOT list_contains({alignment.COMMON}, lower(array_to_string(y, ' '))) FROM g WHERE len(y) BETWEEN 1 AND 5)
 SELECT conv_id, turn, type, count(*) AS n, count(*) FILTER (means) AS meaningful FROM u GROUP BY ALL"""
 
-QUERIES = {f.__name__: f for f in (flat_turns, flat_adjudicated, structured_turns, structured_adjudicated, structured_pages, pair_listing, ensemble_turns, ensemble_adjudicated, ensemble_routes, turn_coverage)}
+QUERIES = {f.__name__: f for f in (flat_turns, flat_adjudicated, structured_turns, structured_adjudicated, structured_pages, pair_listing, ensemble_turns, ensemble_adjudicated, ensemble_routes, turn_coverage, turn_prompts)}
 ORACLES = {
     "flat_turns": FLAT, "flat_adjudicated": FLAT_ADJUDICATED, "structured_turns": structured_sql(VOTE), "structured_adjudicated": structured_sql("CASE WHEN n % 2 = 0 THEN r2 ELSE own END"),
     "structured_pages": STRUCTURED_PAGES, "pair_listing": PAIR_LISTING, "ensemble_turns": ensemble_sql("CASE WHEN m = q AND m <> b_text THEN m ELSE b_text END"),
-    "ensemble_adjudicated": ensemble_sql("CASE WHEN n % 2 = 1 THEN q END"), "ensemble_routes": ENSEMBLE_ROUTES, "turn_coverage": TURN_COVERAGE, "diff_positions": DIFF_POSITIONS, "coverage_pairs": COVERAGE_PAIRS,
+    "ensemble_adjudicated": ensemble_sql("CASE WHEN n % 2 = 1 THEN q END"), "ensemble_routes": ENSEMBLE_ROUTES, "turn_coverage": TURN_COVERAGE, "turn_prompts": prompts_sql(), "diff_positions": DIFF_POSITIONS, "coverage_pairs": COVERAGE_PAIRS,
 }
