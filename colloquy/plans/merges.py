@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from colloquy.functions import text
-from colloquy.operators import adjudicate, diffs, ensemble
+from colloquy.operators import adjudicate, diffs, ensemble, score, structure
 from colloquy.plans import alignment
 from colloquy.plans.collate import pairs
 from colloquy.plans.texts import NORM, WORDS
@@ -233,9 +233,43 @@ u AS (SELECT conv_id, turn, 'changed' AS type, NOT ({alignment.only_common('x')}
   UNION ALL SELECT conv_id, turn, 'b_only', NOT list_contains({alignment.COMMON}, lower(array_to_string(y, ' '))) FROM g WHERE len(y) BETWEEN 1 AND 5)
 SELECT conv_id, turn, type, count(*) AS n, count(*) FILTER (means) AS meaningful FROM u GROUP BY ALL"""
 
-QUERIES = {f.__name__: f for f in (flat_turns, flat_adjudicated, structured_turns, structured_adjudicated, structured_pages, pair_listing, ensemble_turns, ensemble_adjudicated, ensemble_routes, turn_coverage, turn_prompts)}
+def survival_best(spark, sf):
+    """How much of each witness the first one holds, and which of the others it is most like; the first in order at ties."""
+    w = witnesses(spark, sf).withColumn("n", text.normalized(text.words(F.col("text"))))
+    merged = w.where("source_ord = 0").select("k", F.col("n").alias("b"))
+    got = score.survival(w.where("source_ord > 0").select("k", "source_ord", "source", F.col("n").alias("a")).join(merged, "k"), "a", "b")
+    best = got.groupBy("k").agg(F.min(F.struct((-F.col("pct_b")).alias("p"), "source_ord", "source")).alias("best"), F.sum("common").alias("common"))
+    return best.select("k", F.col("best.source").alias("source"), (-F.col("best.p")).alias("coverage"), "common")
+
+
+SURVIVAL_BEST = f"""WITH RECURSIVE {WITNESSES},
+{alignment.gaps(" UNION ALL ".join(f"SELECT k * 10 + {o} AS k, {normalised(f'v{o}')} AS a, {normalised('v0')} AS b FROM v" for o in (1, 2)))},
+n AS (SELECT pp.k // 10 AS k, pp.k % 10 AS o, any_value(len(b)) AS size, count(h.i) AS common FROM pp LEFT JOIN hits h ON h.k = pp.k GROUP BY pp.k),
+c AS (SELECT *, CASE WHEN size > 0 THEN floor(100 * common / size)::INTEGER END AS pct FROM n)
+SELECT k, arg_max(CASE o WHEN 1 THEN 'small' ELSE 'distil-large-v3' END, (coalesce(pct, 1000), -o)) AS source, max(pct) AS coverage, sum(common)::BIGINT AS common FROM c GROUP BY k"""
+
+
+def structure_forms(spark, sf):
+    """Conversations in the three forms that are told by their lines, and plain ones."""
+    c = table(spark, sf, "conversations")
+    said = F.regexp_replace("text", r"\n", " ")
+    who = F.when(F.col("turn") % 2 == 0, "Ann Bee").otherwise("Bob")
+    stamp = text.hms(F.col("turn") * 61)
+    kind = F.col("conv_id") % 4
+    line = F.when(kind == 0, F.concat(who, F.lit(" [("), stamp, F.lit(")](u)\n"), said)).when(kind == 1, F.concat(F.lit("["), stamp, F.lit("] "), who, F.lit(": "), said)).when(kind == 2, F.concat(who, F.lit(": "), said)).otherwise(F.concat(F.lit("- "), said))
+    t = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("l")))), lambda x: x["l"]), "\n").alias("text"))
+    got = structure.segments(t, "conv_id", "text")
+    return got.select("conv_id", "form", "seg_ord", "speaker", "stamp", F.md5("text").alias("digest"))
+
+
+STRUCTURE_FORMS = r"""WITH c AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS seg_ord, conv_id % 4 AS kind, turn * 61 AS s FROM conversations)
+SELECT conv_id, ['lex', 'bracketed', 'speaker_only'][kind + 1] AS form, seg_ord, CASE WHEN turn % 2 = 0 THEN 'Ann Bee' ELSE 'Bob' END AS speaker,
+  CASE WHEN kind < 2 THEN (s // 3600)::VARCHAR || ':' || lpad((s % 3600 // 60)::VARCHAR, 2, '0') || ':' || lpad((s % 60)::VARCHAR, 2, '0') END AS stamp,
+  md5(regexp_replace(regexp_replace(text, '\n', ' ', 'g'), '^\s+|\s+$', '', 'g')) AS digest FROM c WHERE kind < 3 AND n >= 2"""
+
+QUERIES = {f.__name__: f for f in (flat_turns, flat_adjudicated, structured_turns, structured_adjudicated, structured_pages, pair_listing, ensemble_turns, ensemble_adjudicated, ensemble_routes, turn_coverage, turn_prompts, survival_best, structure_forms)}
 ORACLES = {
     "flat_turns": FLAT, "flat_adjudicated": FLAT_ADJUDICATED, "structured_turns": structured_sql(VOTE), "structured_adjudicated": structured_sql("CASE WHEN n % 2 = 0 THEN r2 ELSE own END"),
     "structured_pages": STRUCTURED_PAGES, "pair_listing": PAIR_LISTING, "ensemble_turns": ensemble_sql("CASE WHEN m = q AND m <> b_text THEN m ELSE b_text END"),
-    "ensemble_adjudicated": ensemble_sql("CASE WHEN n % 2 = 1 THEN q END"), "ensemble_routes": ENSEMBLE_ROUTES, "turn_coverage": TURN_COVERAGE, "turn_prompts": prompts_sql(), "diff_positions": DIFF_POSITIONS, "coverage_pairs": COVERAGE_PAIRS,
+    "ensemble_adjudicated": ensemble_sql("CASE WHEN n % 2 = 1 THEN q END"), "ensemble_routes": ENSEMBLE_ROUTES, "turn_coverage": TURN_COVERAGE, "turn_prompts": prompts_sql(), "survival_best": SURVIVAL_BEST, "structure_forms": STRUCTURE_FORMS, "diff_positions": DIFF_POSITIONS, "coverage_pairs": COVERAGE_PAIRS,
 }
