@@ -14,4 +14,4 @@ QUERIES: dict = {
     "op9_pareto_mix": mixing.query,
     "op10_line_crf": crf.query,
 }
-ORACLES: dict[str, str] = {"op9_pareto_mix": mixing.SQL}
+ORACLES: dict[str, str] = {"op3_doubling": doubling.SQL, "op9_pareto_mix": mixing.SQL}

@@ -222,3 +222,22 @@ def removed(docs: DataFrame, length: int = LENGTH, text_out: bool = False) -> Da
 
 def query(spark, sf_dir: str) -> DataFrame:
     return removed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def sql(levels: int = 9) -> str:
+    """The same rows by all windows, of `levels` lengths from 50 on; for small tables."""
+    out = [r"""WITH w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+l0 AS MATERIALIZED (SELECT doc_id, p, md5(array_to_string(ws[p + 1 : p + 50], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(0, len(ws) - 49)) AS p FROM w WHERE len(ws) >= 50))"""]
+    for k in range(levels):
+        out.append(f"h{k} AS MATERIALIZED (SELECT doc_id, p FROM l{k} JOIN (SELECT h, min(doc_id) AS x FROM l{k} GROUP BY h) f ON f.h = l{k}.h WHERE x < doc_id)")
+        out.append(f"l{k + 1} AS MATERIALIZED (SELECT a.doc_id, a.p, md5(a.h || b.h) AS h FROM l{k} a JOIN l{k} b ON b.doc_id = a.doc_id AND b.p = a.p + {LENGTH << k})")
+    reach = " UNION ALL ".join(f"SELECT DISTINCT doc_id, {LENGTH << k} AS n FROM h{k}" for k in range(levels))
+    out.append("""i AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) - 1 AS i FROM w),
+c AS (SELECT i.doc_id, i.i, x, coalesce(max(h0.p) OVER (PARTITION BY i.doc_id ORDER BY i.i ROWS UNBOUNDED PRECEDING) > i.i - 50, false) AS gone FROM i LEFT JOIN h0 ON h0.doc_id = i.doc_id AND h0.p = i.i),
+k AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(x, ' ' ORDER BY i) FILTER (NOT gone), '') AS kept FROM c GROUP BY doc_id)""")
+    return ",\n".join(out) + f"""
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256, coalesce(r.n, 0)::BIGINT AS longest
+FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN (SELECT doc_id, max(n) AS n FROM ({reach}) GROUP BY doc_id) r ON r.doc_id = d.doc_id"""
+
+
+SQL = sql()

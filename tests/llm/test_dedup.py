@@ -126,6 +126,12 @@ def test_doubling(docs, length):
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == windows_removed(rows, length)
 
 
+def test_doubling_is_that_of_sql(spark, sf):
+    from compare import canon, duck
+
+    assert canon(doubling.query(spark, sf).toPandas()) == canon(duck(sf).sql(doubling.SQL).df())
+
+
 def test_doubling_goes_on_until_no_window_survives(spark):
     w = [f"w{i}" for i in range(900)]
     rows = [(1, " ".join(w)), (2, " ".join(["x", *w[100:500], "y"])), (3, " ".join(w[:49])), (4, " ".join(w[300:360])), (5, " ".join(w)), (6, "w w " * 40)]
