@@ -13,18 +13,19 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star steps: each hangs neighbours on the smallest id of their neighbourhood, so
     the number of rounds grows with the logarithm of the longest path. Every round is written to the shared folder.
-    A hub's neighbours are never gathered in one row: minima are summed before the shuffle, and joins can be split.
+    A hub's neighbours are never gathered in one row or task: minima are summed before the shuffle and written, so that
+    the joins to them can be split.
     """
     now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
     known = None
     for _ in range(most_rounds):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "links-low")
         # large star: larger neighbours hang on the smallest id around
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         # small star: smaller neighbours and the node itself hang on the smallest
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(low, "a")
+        large = written(large, "links-large")
+        joined = large.join(written(large.groupBy("a").agg(F.min("b").alias("m")), "links-low"), "a")
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(joined.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
         now = written(small, "links")
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
