@@ -21,10 +21,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends here and lost executors cost nothing."""
+    """Write a table to the shared folder and read it back: lineage ends here and lost executors cost nothing.
+
+    The shuffles that made it aren't needed any more. Spark deletes their files when the driver collects its garbage,
+    which a long chain of stages may not come to before disks are full; so it is asked to.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
