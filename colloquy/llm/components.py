@@ -13,7 +13,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star steps: each hangs neighbours on the smallest id of their neighbourhood, so
     the number of rounds grows with the logarithm of the longest path. Every round is written to the shared folder.
-    A hub's neighbours are never gathered in one row: minima are summed before the shuffle, and joins can be split.
+    A hub's neighbours are never gathered in one row: minima are summed before the shuffle. The joins to them stand on
+    the same shuffle, so a hub's rows of two longs are one task's; they stream through it and aren't held.
     """
     now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
     known = None
