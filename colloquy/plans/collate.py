@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.functions import fixed, text
-from colloquy.operators import chunks, diffs, ensemble, score, structure
-from colloquy.plans.texts import NORM, WORDS, rendered_conversations
+from colloquy.functions import text
+from colloquy.operators import diffs, ensemble, score, structure
+from colloquy.plans.texts import NORM, rendered_conversations
 from colloquy.session import table
 
 
