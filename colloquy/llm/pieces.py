@@ -31,8 +31,6 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: A model's protobuf is sent to each Python worker; larger ones are refused.
 MOST_BYTES = 64 << 20
-#: sentencepiece encodes every unit, and one whole text in so many besides.
-SHARE = 16
 
 
 def fields(buf: bytes):
@@ -167,9 +165,9 @@ class Encoder:
 
     A unit is a run of spaces with what follows up to the next space or line feed. Each distinct unit goes through the
     Tokenizers library once, in one multithreaded batch, and then stays in a table of bounded size; ids of texts are
-    gathered from it with NumPy. With `check`, sentencepiece must give every unit the same ids. Decoded bytes are
-    gathered from the pieces and compared with the text, which also rules out hash collisions: a text whose bytes
-    don't come back is encoded whole. One text in `SHARE`, by its hash, is also held against sentencepiece as a whole.
+    gathered from it with NumPy. Decoded bytes are gathered from the pieces and compared with the text, which also
+    rules out hash collisions: a text whose bytes don't come back is encoded whole. With `check`, sentencepiece encodes
+    every whole text too and must give the same ids.
     """
 
     def __init__(self, buf: bytes, check: bool = False, most_units: int = 1 << 19):
@@ -202,9 +200,9 @@ class Encoder:
         return build(self.model)
 
     def clear(self) -> None:
-        """Units by rising hash: where their ids start in the pool, how many there are, and whether they agree."""
+        """Units by rising hash: where their ids start in the pool, and how many there are."""
         self.keys = np.zeros(0, np.uint64)
-        self.start, self.len, self.good = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.start, self.len = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.int32)
 
     def learn(self, keys: np.ndarray, units: list[str]) -> None:
@@ -214,31 +212,22 @@ class Encoder:
 
     def learn_some(self, keys: np.ndarray, units: list[str]) -> None:
         runs = ["\n" + "\n".join("" if u == "\n" else u for u in units[i : i + 400]) + "\n" for i in range(0, len(units), 400)]
-        ids, cuts = self.cut([e.ids for e in self.bare.encode_batch_fast([r.replace(" ", MARK) for r in runs], add_special_tokens=False)], 0)
-        good = np.ones(len(units), bool)
-        if self.ref:
-            # sentencepiece puts a marker before each text
-            ref, ref_cuts = self.cut(self.ref.encode(runs, num_threads=2), 1)
-            sizes = np.diff(cuts)
-            if np.array_equal(cuts, ref_cuts):
-                good = np.bincount(np.repeat(np.arange(len(units)), sizes), ids != ref, len(units)) == 0
-            else:
-                good[:] = [np.array_equal(ids[cuts[i] : cuts[i + 1]], ref[ref_cuts[i] : ref_cuts[i + 1]]) for i in range(len(units))]
+        ids, cuts = self.cut([e.ids for e in self.bare.encode_batch_fast([r.replace(" ", MARK) for r in runs], add_special_tokens=False)])
         sizes = np.diff(cuts)
-        start, good = len(self.pool) + cuts[:-1], np.array(good, bool)
+        start = len(self.pool) + cuts[:-1]
         if "\n" in units:
             i = units.index("\n")
             start[i], sizes[i] = len(self.pool) + len(ids), 1
             ids = np.append(ids, self.line).astype(np.int32)
         at = np.searchsorted(self.keys, keys)  # both rise
-        self.keys, self.start, self.len, self.good = (np.insert(x, at, y) for x, y in ((self.keys, keys), (self.start, start.astype(np.int32)), (self.len, sizes.astype(np.int32)), (self.good, good)))
+        self.keys, self.start, self.len = (np.insert(x, at, y) for x, y in ((self.keys, keys), (self.start, start.astype(np.int32)), (self.len, sizes.astype(np.int32))))
         self.pool = np.concatenate([self.pool, ids])
 
-    def cut(self, lists: list[list[int]], skip: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids between line feeds, and their cuts; each list begins, after `skip` ids, and ends with a line feed."""
-        flat = np.concatenate([np.array(x[skip:], np.int32) for x in lists])
+    def cut(self, lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids between line feeds, and their cuts; each list begins and ends with a line feed."""
+        flat = np.concatenate([np.array(x, np.int32) for x in lists])
         feed = flat == self.line
-        last = np.cumsum([len(x) - skip for x in lists]) - 1
+        last = np.cumsum([len(x) for x in lists]) - 1
         owner = np.cumsum(feed)
         owner -= np.searchsorted(last, np.arange(len(flat)))  # each list has one line feed more than units
         n = int(feed.sum()) - len(lists)
@@ -275,13 +264,11 @@ class Encoder:
         bound = np.searchsorted(start, offs)
         total = np.concatenate([[0], np.cumsum(sizes)])
         at = total[bound]
-        bad = np.concatenate([[0], np.cumsum(~self.good[slot])])[bound]
-        same = np.diff(bad) == 0
+        same = np.ones(len(texts), bool)
         out, shown = self.bytes_of(ids)
         cuts = np.concatenate([[0], np.cumsum(shown)])[at]
         if self.ref:
-            for i in np.flatnonzero(words.spans(data, offs[:-1], offs[1:]) % np.uint64(SHARE) == 0).tolist():
-                same[i] &= self.ref.encode(texts[i]) == ids[at[i] : at[i + 1]].tolist()
+            same[:] = [x == ids[i:j].tolist() for x, i, j in zip(self.ref.encode(texts, num_threads=2), at[:-1].tolist(), at[1:].tolist(), strict=True)]
         if np.array_equal(cuts, offs) and np.array_equal(out, data):
             return at, ids, same, [x[1:].decode() for x in raw]
         lists, decoded = [], []

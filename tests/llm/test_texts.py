@@ -74,6 +74,23 @@ def test_user_defined_symbols(kind):
     assert [ids[i:j].tolist() for i, j in zip(at[:-1], at[1:])] == ref.encode(texts) and same.all() and back == texts
 
 
+def test_parity_is_measured_on_every_whole_text():
+    """An unused piece that ends in a space changes sentencepiece's whole texts, but none of their units."""
+    import sentencepiece
+
+    made = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{i:02X}>", 0.0, 6) for i in range(256)]
+    made += [("▁", -9.0, 1), ("a", -9.0, 1), ("b", -9.0, 1), ("c", -9.0, 1), ("a▁", -1.0, 5), ("▁b", -2.0, 1), ("bc", -3.0, 1)]
+    buf = b"".join(field(1, field(1, p.encode()) + field(2, s) + field(3, k)) for p, s, k in made)
+    buf += field(2, field(3, 2) + field(35, 1)) + field(3, field(3, 1) + field(4, 0) + field(5, 1))
+    ref, coder = sentencepiece.SentencePieceProcessor(model_proto=buf), pieces.Encoder(buf, True)
+    texts = ["c" * i + "a bc" for i in range(1, 60)] + ["c bc", "", "bc\na"]
+    for _ in range(2):
+        at, ids, same, back = coder.encode(texts)
+        assert coder.by_unit and back == texts
+        assert same.tolist() == [ids[i:j].tolist() == x for i, j, x in zip(at[:-1], at[1:], ref.encode(texts))]
+        assert same.tolist() == [False] * 59 + [True] * 3
+
+
 def test_tokens_of_odd_rows(odd, empty):
     got = pieces.digest(odd).collect()
     assert len(got) == 9 and all(r.parity and r.round_trip for r in got)
