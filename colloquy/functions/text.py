@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,17 @@ def normalized(ws: Column) -> Column:
     return F.transform(ws, lambda w: F.coalesce(F.nullif(F.lower(F.regexp_replace(w, NOT_WORD, "")), F.lit("")), F.lit("_")))
 
 
+class Normalised(dict):
+    """`normalized` of single words in Python, by word. Words seen are kept, up to 200,000 at once."""
+
+    def __missing__(self, w: str) -> str:
+        if len(self) >= 200_000:
+            self.clear()
+        kept = w if w.isascii() and w.isalnum() else "".join(c for c in w if c == "_" or unicodedata.category(c)[0] in "LN")
+        self[w] = found = kept.lower() or "_"
+        return found
+
+
 def joined(ws: Column, by: str = " ") -> Column:
     return F.array_join(ws, by)
 

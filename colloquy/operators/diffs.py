@@ -2,28 +2,79 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from colloquy.functions.fixed import CLUSTER_DIFFS, COMMON_WORDS, CONTEXT_WORDS
 from colloquy.functions.text import all_common, shown_reading
-from colloquy.operators import lcs
+from colloquy.operators.lcs import blocks
+
+
+COMMON = frozenset(COMMON_WORDS)
+
+
+def gaps(a: list, b: list, a_norm: list, b_norm: list):
+    """(type, a_text, b_text, a_pos, b_pos, a_len, b_len) of each run that differs, in order."""
+    i = j = 0
+    for x, y, n in (*blocks(a_norm, b_norm), (len(a), len(b), 0)):
+        if x > i or y > j:
+            kind = "substitution" if x > i and y > j else "insertion" if x > i else "deletion"
+            yield kind, " ".join(a[i:x]), " ".join(b[j:y]), i, j, x - i, y - j
+        i, j = x + n, y + n
+
+
+def trivial(a: str, b: str) -> bool:
+    """`is_trivial` of two texts whose words are joined by spaces."""
+    return all(w.lower() in COMMON for t in (a, b) for w in t.split(" ") if w)
+
+
+def compared(base: tuple, others: list[tuple], gap: int = CONTEXT_WORDS, most: int = CLUSTER_DIFFS) -> list[list[dict]]:
+    """Clusters of the differences of one recording, as `positioned`, `pivoted` and `clustered` find them, trivial ones left
+    out: each a list of {b_pos, b_len, readings} in order. Texts are (model, words, normalised words)."""
+    model, b, b_norm = base
+    places, mine = {}, []
+    for _, a, a_norm in others:
+        found = {(b_pos, b_len): (a_text, b_text) for _, a_text, b_text, _, b_pos, _, b_len in gaps(a, b, a_norm, b_norm) if not trivial(a_text, b_text)}
+        places.update((k, b_text) for k, (_, b_text) in found.items())
+        mine.append(found)
+    out, end, n = [], None, 0
+    for at in sorted(places):
+        own = places[at]
+        if end is None or at[0] - end > gap:
+            n = 0
+        if n % most == 0:
+            out.append([])
+        n, end = n + 1, sum(at)
+        readings = [{"model": m, "text": found[at][0] if at in found else own} for (m, _, _), found in zip(others, mine, strict=True)]
+        out[-1].append({"b_pos": at[0], "b_len": at[1], "readings": [*readings, {"model": model, "text": own}]})
+    return out
 
 
 def positioned(pairs: DataFrame, keys: list[str], a: str, b: str, a_norm: str, b_norm: str) -> DataFrame:
     """(keys, type, a_text, b_text, a_pos, b_pos, a_len, b_len): runs that differ, in the original casing.
 
-    A deleted run with an inserted run behind it is a substitution.
+    A deleted run with an inserted run behind it is a substitution. Runs are cut within a pair's row, so that no text is
+    copied to its runs.
     """
-    runs = lcs.with_lcs(pairs, a_norm, b_norm, ops="ops").select(*keys, a, b, F.posexplode("ops").alias("n", "op"))
-    w = Window.partitionBy(*keys).orderBy("n")
-    runs = runs.select("*", "op.*").withColumn("prev", F.lag("kind").over(w)).withColumn("next", F.lead(F.struct("kind", "b_lo", "b_hi")).over(w))
-    sub = (F.col("kind") == "deleted") & (F.col("next.kind") == "inserted")
-    kept = runs.withColumn("sub", F.coalesce(sub, F.lit(False))).where("kind <> 'common' and not (kind = 'inserted' and coalesce(prev, '') = 'deleted')")
-    b_lo, b_hi = F.when(F.col("sub"), F.col("next.b_lo")).otherwise(F.col("b_lo")), F.when(F.col("sub"), F.col("next.b_hi")).otherwise(F.col("b_hi"))
-    cut = lambda ws, lo, hi: F.array_join(F.slice(ws, lo + 1, hi - lo), " ")
-    kind = F.when(F.col("sub"), "substitution").when(F.col("kind") == "deleted", "insertion").otherwise("deletion")
-    return kept.select(*keys, kind.alias("type"), cut(a, F.col("a_lo"), F.col("a_hi")).alias("a_text"), cut(b, b_lo, b_hi).alias("b_text"), F.col("a_lo").alias("a_pos"), b_lo.alias("b_pos"), (F.col("a_hi") - F.col("a_lo")).alias("a_len"), (b_hi - b_lo).alias("b_len"))
+    kinds = {"type": "string", "a_text": "string", "b_text": "string", "a_pos": "int", "b_pos": "int", "a_len": "int", "b_len": "int"}
+    schema = T.StructType([*(pairs.schema[k] for k in keys), *T._parse_datatype_string(", ".join(f"{k} {v}" for k, v in kinds.items()))])
+    texts = [a, b, a_norm, b_norm]
+
+    def work(batches):
+        # a table takes the product of two lengths over eight, so a few pairs at a time
+        for batch in (x.slice(i, 256) for x in batches for i in range(0, x.num_rows, 256)):
+            rows, found = [], []
+            for n, row in enumerate(zip(*(batch.column(len(keys) + i).to_pylist() for i in range(4)), strict=True)):
+                got = list(gaps(*(ws or [] for ws in row)))
+                rows += [n] * len(got)
+                found += got
+            columns = list(zip(*found, strict=True)) or [[]] * len(kinds)
+            own = [batch.column(i).take(pa.array(rows, pa.int32())) for i in range(len(keys))]
+            yield pa.RecordBatch.from_arrays([*own, *(pa.array(c, pa.string() if t == "string" else pa.int32()) for c, t in zip(columns, kinds.values(), strict=True))], names=[*keys, *kinds])
+
+    return pairs.select(*keys, *(F.col(c).alias(f"_{i}") for i, c in enumerate(texts))).mapInArrow(work, schema)
 
 
 def unpositioned(diffs: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,6 +129,12 @@ def plurality(readings: Column) -> Column:
     return F.array_min(ranked)["t"]
 
 
+def agreed(readings: list[dict]) -> str:
+    """`plurality` of one difference's readings."""
+    texts = [r["text"] for r in readings]
+    return min((-texts.count(t), -1 if t == texts[-1] else i, t) for i, t in enumerate(texts))[2]
+
+
 def by_letter(readings: Column, letter: Column) -> Column:
     """The reading that a letter A, B, ... chooses; anything else is the base's."""
     i = F.ascii(F.upper(F.trim(letter))) - 65
@@ -131,3 +188,14 @@ def resolved(words: Column, diffs: Column) -> Column:
         return F.when(d["b_pos"] >= s["at"], done).otherwise(s)
 
     return F.aggregate(diffs, start, add, lambda s: F.array_join(F.concat(s["out"], piece(s["at"], F.size(words))), " "))
+
+
+def applied(words: list[str], chosen: list[tuple[int, int, str]]) -> str:
+    """`resolved` of one recording: (b_pos, b_len, text) in order, no text null."""
+    out, at = [], 0
+    for b_pos, b_len, text in chosen:
+        if b_pos >= at:
+            out += words[at:b_pos]
+            out += [w for w in text.split(" ") if w]
+            at = b_pos + b_len
+    return " ".join(out + words[at:])

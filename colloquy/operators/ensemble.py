@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from colloquy.functions.fixed import CHUNK_WORDS, MODEL_ORDER
-from colloquy.functions.text import normalized, words
-from colloquy.operators import chunks, diffs, lcs, loops
+from colloquy.functions.text import Normalised, normalized, words
+from colloquy.operators import chunks, diffs, lcs
+from colloquy.operators.loops import collapsed
 
 
 def model_rank(model: Column) -> Column:
@@ -21,36 +25,66 @@ def base_model(models: Column) -> Column:
     return F.array_min(F.transform(models, model_rank))["m"]
 
 
-def differences(texts: DataFrame, key: str, model: str = "model", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(key, base, n_models, b: the base's words), and (key, b_pos, b_len, b_text, readings, cluster): where models differ
-    from the base, loops collapsed and trivial differences left out."""
-    plain = loops.with_loops(texts.select(key, F.col(model).alias("model"), F.col(text).alias("text")), "text").select(key, "model", words(F.col("collapsed")).alias("ws"))
-    bases = plain.groupBy(key).agg(base_model(F.collect_set("model")).alias("base"), F.count("*").alias("n_models"))
-    plain = plain.join(bases, key)
-    base = plain.where("model = base").select(key, "base", "n_models", F.col("ws").alias("b"))
-    pairs = plain.where("model <> base").select(key, "model", F.col("ws").alias("a")).join(base.select(key, "b"), key).withColumn("an", normalized(F.col("a"))).withColumn("bn", normalized(F.col("b")))
-    found = diffs.positioned(pairs, [key, "model"], "a", "b", "an", "bn").where(~diffs.is_trivial(F.col("a_text"), F.col("b_text")))
-    models = plain.select(key, "model", F.row_number().over(Window.partitionBy(key).orderBy(model_rank(F.col("model")))).alias("model_ord"), "base")
-    pivot = diffs.pivoted(found, [key], models.select(key, F.when(F.col("model") == F.col("base"), F.lit("")).otherwise(F.col("model")).alias("model"), "model_ord"), "")
-    return base, diffs.clustered(pivot, [key])
+def ranked(texts: list[dict]) -> list[tuple[str, str | None]]:
+    """(model, text) of a recording from best to worst, as `model_rank` has it."""
+    place = {m: i for i, m in enumerate(MODEL_ORDER)}
+    return sorted(((t["model"], t["text"]) for t in texts if t["model"] is not None), key=lambda t: (place.get(t[0], len(place)), t[0], t[1] or ""))
 
 
-def clusters(base: DataFrame, sets: DataFrame, key: str) -> DataFrame:
-    """(key, cluster, d, b): clusters of differences, d an array of struct(b_pos, b_len, readings) in order, with the base's words."""
-    return sets.groupBy(key, "cluster").agg(F.array_sort(F.collect_list(F.struct("b_pos", "b_len", "readings"))).alias("d")).join(base.select(key, "b"), key)
+def per_recording(texts: DataFrame, key: str, schema: str, result) -> DataFrame:
+    """(key, schema): result(normalise, texts) of each row's `texts`, an array of struct(model, text); rows for which it is
+    None are left out. A recording is worked on within its row, so that no text is copied to its differences."""
+    kinds = T._parse_datatype_string(schema)
+    arrow = to_arrow_schema(kinds)
+
+    def work(batches):
+        normalise = Normalised().__getitem__
+        # a table takes the product of two lengths over eight, so a few recordings at a time
+        for b in (x.slice(i, 128) for x in batches for i in range(0, x.num_rows, 128)):
+            got = [(i, r) for i, t in enumerate(b.column(1).to_pylist()) if (r := result(normalise, t or [])) is not None]
+            own = b.column(0).take(pa.array([i for i, _ in got], pa.int32()))
+            yield pa.RecordBatch.from_arrays([own, *(pa.array([r[k] for _, r in got], f.type) for k, f in enumerate(arrow))], names=[key, *arrow.names])
+
+    return texts.select(key, "texts").mapInArrow(work, T.StructType([texts.schema[key], *kinds]))
+
+
+CLUSTERS = "clusters array<array<struct<b_pos int, b_len int, readings array<struct<model string, text string>>>>>"
+
+
+def found(normalise, texts: list[dict]) -> tuple | None:
+    """(base, n_models, b, clusters) of one recording's texts; None without a model."""
+    named = ranked(texts)
+    if not named:
+        return None
+    ws = [(m, w := collapsed(t or "")[1].split(), [*map(normalise, w)]) for m, t in named]
+    return named[0][0], len(texts), ws[0][1], diffs.compared(ws[0], ws[1:])
+
+
+def gathered(texts: DataFrame, key: str, model: str = "model", text: str = "text") -> DataFrame:
+    """(key, texts): a row for each recording, with an array of struct(model, text)."""
+    return texts.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(F.struct(F.col(model).alias("model"), F.col(text).alias("text"))).alias("texts"))
+
+
+def differences(texts: DataFrame, key: str, model: str = "model", text: str = "text") -> DataFrame:
+    """(key, base, n_models, b: the base's words, clusters): where models differ from the base, loops collapsed and trivial
+    differences left out; a cluster is an array of struct(b_pos, b_len, readings) in order."""
+    return per_recording(gathered(texts, key, model, text), key, f"base string, n_models bigint, b array<string>, {CLUSTERS}", found)
+
+
+def clusters(differing: DataFrame, key: str) -> DataFrame:
+    """(key, cluster, d, b): clusters of `differences`, d an array of struct(b_pos, b_len, readings) in order, with the base's words."""
+    return differing.select(key, F.posexplode("clusters").alias("cluster", "d"), "b")
 
 
 def resolve(texts: DataFrame, key: str, model: str = "model", text: str = "text", choose=diffs.plurality, resolver=None) -> DataFrame:
     """(key, base, n_models, n_diffs, n_clusters, text): loops collapsed, differences of each model from the best one
     found, trivial ones left out, pivoted, clustered, chosen by `choose`, and applied to the base. A `resolver` instead
     adds `choices` to clusters (key, cluster, b, d), with d an array of struct(b_pos, b_len, readings)."""
-    base, sets = differences(texts, key, model, text)
-    if resolver:
-        sets = resolver(clusters(base, sets, key)).select(key, "cluster", F.explode(F.arrays_zip("d", "choices")).alias("z")).select(key, "cluster", "z.d.b_pos", "z.d.b_len", F.col("z.choices").alias("text"))
-    else:
-        sets = sets.withColumn("text", choose(F.col("readings")))
+    found = differences(texts, key, model, text)
+    choices = (resolver or (lambda c: c.withColumn("choices", F.transform("d", lambda x: choose(x["readings"])))))(clusters(found, key))
+    sets = choices.select(key, "cluster", F.explode(F.arrays_zip("d", "choices")).alias("z")).select(key, "cluster", "z.d.b_pos", "z.d.b_len", F.col("z.choices").alias("text"))
     per = sets.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("b_pos", "b_len", "text"))).alias("d"), F.countDistinct("cluster").alias("n_clusters"), F.count("*").alias("n_diffs"))
-    got = base.join(per, key, "left")
+    got = found.join(per, key, "left")
     none = F.array().cast("array<struct<b_pos:int,b_len:int,text:string>>")
     return got.select(key, "base", "n_models", F.coalesce("n_diffs", F.lit(0)).alias("n_diffs"), F.coalesce("n_clusters", F.lit(0)).alias("n_clusters"), diffs.resolved(F.col("b"), F.coalesce("d", none)).alias("text"))
 

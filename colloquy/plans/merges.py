@@ -161,8 +161,7 @@ FROM fin JOIN v ON v.k = fin.k LEFT JOIN ns ON ns.k = fin.k"""
 
 def turn_prompts(spark, sf):
     """Questions about each cluster of differences: words around, marks, and lettered readings."""
-    base, sets = ensemble.differences(models(spark, sf), "k")
-    c = ensemble.clusters(base, sets, "k")
+    c = ensemble.clusters(ensemble.differences(models(spark, sf), "k"), "k")
     return c.select("k", "cluster", F.size("d").alias("n_diffs"), adjudicate.choices_asked(F.col("d"))[0].alias("n_choices"), diffs.prompt(F.col("b"), F.col("d"), 5).alias("prompt"))
 
 

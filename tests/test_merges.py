@@ -1,12 +1,15 @@
 """Adjudicated merges, scoring runs, reports, runs of many files and the command line on small cases."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from colloquy import __main__ as cli
-from colloquy.operators import adjudicate, batch, choose, ensemble, scoring, speakers
+from colloquy.functions import text
+from colloquy.operators import adjudicate, batch, choose, diffs, ensemble, scoring, speakers
+from colloquy.plans import catalog
 from colloquy.sources import pages, sinks
 
 
@@ -49,6 +52,34 @@ def test_letters_and_second_try(spark):
     assert ensemble.driven(texts, "key", adjudicate=False).first().text == "we saw spectral light today"
 
 
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_prompts_copy_no_text(spark, sf):
+    """Differences and clusters are found within a document's row: nothing is shuffled, no text is copied to each difference."""
+    assert exchanges(catalog.QUERIES["cluster_prompts"](spark, sf)) == 0
+    pairs = frame(spark, [(1, ["a"], ["b"])], "k int, a array<string>, b array<string>")
+    assert exchanges(diffs.positioned(pairs, ["k"], "a", "b", "a", "b")) == 0
+
+
+@pytest.mark.parametrize("gap, most", [(30, 50), (2, 3)])
+def test_differences_within_rows_are_those_of_tables(spark, gap, most):
+    r = random.Random(7)
+    said = [[r.choice(["Cat", "dog,", "the", "sat.", "mat", "--", "an"]) for _ in range(r.randrange(40))] for _ in range(30)]
+    rows = [(k, m, [w for w in ws if r.random() < keep]) for k, ws in enumerate(said) for m, keep in (("x", 0.8), ("y", 0.9), ("base", 1))]
+    df = frame(spark, rows, "k int, model string, ws array<string>").withColumn("norm", text.normalized(F.col("ws"))).cache()
+    pairs = df.where("model <> 'base'").toDF("k", "model", "a", "an").join(df.where("model = 'base'").select("k", F.col("ws").alias("b"), F.col("norm").alias("bn")), "k")
+    found = diffs.positioned(pairs, ["k", "model"], "a", "b", "an", "bn").where(~diffs.is_trivial(F.col("a_text"), F.col("b_text")))
+    models = df.select("k", "model", F.when(F.col("model") == "y", 1).otherwise(0).alias("model_ord"))
+    table = diffs.clustered(diffs.pivoted(found, ["k"], models, "base"), ["k"], gap, most).withColumn("pick", diffs.plurality(F.col("readings")))
+    want = sorted((x.k, x.cluster, x.b_pos, x.b_len, [tuple(y) for y in x.readings], x.pick) for x in table.collect())
+    by = {(x.k, x.model): (x.model, x.ws, x.norm) for x in df.collect()}
+    assert all([*map(text.Normalised().__getitem__, ws)] == norm for _, ws, norm in by.values())
+    got = [(k, n, d["b_pos"], d["b_len"], [(y["model"], y["text"]) for y in d["readings"]], diffs.agreed(d["readings"])) for k in range(30) for n, c in enumerate(diffs.compared(by[k, "base"], [by[k, "x"], by[k, "y"]], gap, most)) for d in c]
+    assert got == want and len(got) > 50
+
+
 def test_names_and_summaries(spark):
     rows = frame(spark, [(1, "SPEAKER_00: hello I am Ann", "a talk"), (2, "  ", None)], "key int, text string, about string")
 
