@@ -60,6 +60,15 @@ def found(normalise, texts: list[dict]) -> tuple | None:
     return named[0][0], len(texts), ws[0][1], diffs.compared(ws[0], ws[1:])
 
 
+def chosen(normalise, texts: list[dict]) -> tuple | None:
+    """(base, n_models, n_diffs, n_clusters, text) of one recording's texts by plurality; None without a model."""
+    if not (got := found(normalise, texts)):
+        return None
+    base, n_models, b, clusters = got
+    sets = [(d["b_pos"], d["b_len"], diffs.agreed(d["readings"])) for c in clusters for d in c]
+    return base, n_models, len(sets), len(clusters), diffs.applied(b, sets)
+
+
 def gathered(texts: DataFrame, key: str, model: str = "model", text: str = "text") -> DataFrame:
     """(key, texts): a row for each recording, with an array of struct(model, text)."""
     return texts.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(F.struct(F.col(model).alias("model"), F.col(text).alias("text"))).alias("texts"))
@@ -80,6 +89,8 @@ def resolve(texts: DataFrame, key: str, model: str = "model", text: str = "text"
     """(key, base, n_models, n_diffs, n_clusters, text): loops collapsed, differences of each model from the best one
     found, trivial ones left out, pivoted, clustered, chosen by `choose`, and applied to the base. A `resolver` instead
     adds `choices` to clusters (key, cluster, b, d), with d an array of struct(b_pos, b_len, readings)."""
+    if choose is diffs.plurality and not resolver:
+        return per_recording(gathered(texts, key, model, text), key, "base string, n_models bigint, n_diffs bigint, n_clusters bigint, text string", chosen)
     found = differences(texts, key, model, text)
     choices = (resolver or (lambda c: c.withColumn("choices", F.transform("d", lambda x: choose(x["readings"])))))(clusters(found, key))
     sets = choices.select(key, "cluster", F.explode(F.arrays_zip("d", "choices")).alias("z")).select(key, "cluster", "z.d.b_pos", "z.d.b_len", F.col("z.choices").alias("text"))

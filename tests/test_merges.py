@@ -63,6 +63,16 @@ def test_prompts_copy_no_text(spark, sf):
     assert exchanges(diffs.positioned(pairs, ["k"], "a", "b", "a", "b")) == 0
 
 
+def test_resolving_shuffles_texts_once(spark):
+    """Texts are brought together once; whatever the models, the choice is that of the columns."""
+    rows = [(1, "large", "we saw a spectral light"), (1, "small", "we saw no special lamp"), (1, "tiny", "we saw a special lamp there"), (2, "tiny", None), (3, None, "x"), (None, "tiny", "x"), (4, "x", "so so so so so it is"), (4, "y", "so so it was not")]
+    texts = frame(spark, rows, "key int, model string, text string")
+    got = ensemble.resolve(texts, "key")
+    assert exchanges(got) == 1
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ensemble.resolve(texts, "key", choose=lambda r: diffs.plurality(r)).collect()))
+    assert {r.key: (r.base, r.n_models, r.text) for r in got.collect()} == {1: ("large", 3, "we saw a spectral light"), 2: ("tiny", 1, ""), 4: ("x", 2, "so so it is")}
+
+
 @pytest.mark.parametrize("gap, most", [(30, 50), (2, 3)])
 def test_differences_within_rows_are_those_of_tables(spark, gap, most):
     r = random.Random(7)
